@@ -39,12 +39,20 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] | list[str] = ()) ->
     return [f.name for f in df.schema.fields if is_numeric(f.dataType) and f.name not in exclude]
 
 
-def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Presentation step for oracle comparison: round every double column."""
+def sig_digits(c: Column, digits: int = 11) -> Column:
+    """Round a double to ``digits`` significant digits (via its decimal
+    text), so engines that sum in different orders print the same value."""
+    txt = F.format_string(f"%.{digits - 1}e", c.cast("double"))
+    return F.when(c.isNull(), F.lit(None).cast("double")).otherwise(txt.try_cast("double"))
+
+
+def round_doubles(df: DataFrame, digits: int = 11) -> DataFrame:
+    """Presentation step for oracle comparison: every double column to
+    ``digits`` significant digits."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            cols.append(sig_digits(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

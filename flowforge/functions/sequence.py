@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 def bucketed_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
                   bucket: Column, rank_col: str = "_rank", size_col: str = "_n",
-                  desc: bool = False) -> DataFrame:
+                  desc: bool = False, max_rank: int | None = None) -> DataFrame:
     """Add ``rank_col`` (1-based row_number inside ``part_cols`` by
     ``order_cols``) and ``size_col`` (group size).
 
     ``bucket`` must be monotone in ``order_cols`` (non-decreasing when
     ``desc`` is False): e.g. the first hex digits of an md5 order key, or
-    ``floor(p * 4096)`` for a probability."""
+    ``floor(p * 4096)`` for a probability. With ``max_rank`` only rows whose
+    rank can be <= max_rank are kept: later buckets are pruned before the
+    window, so a top-n never sorts the rest."""
     d = df.withColumn("_bk", bucket)
     counts = d.groupBy(*part_cols, "_bk").agg(F.count(F.lit(1)).alias("_nb"))
     border = F.col("_bk").desc() if desc else F.col("_bk").asc()
@@ -34,6 +36,8 @@ def bucketed_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
         *part_cols, "_bk",
         (F.sum("_nb").over(w_run) - F.col("_nb")).alias("_off"),
         F.sum("_nb").over(w_all).alias(size_col))
+    if max_rank is not None:
+        offsets = offsets.where(F.col("_off") < F.lit(max_rank))
     # offsets is groups x buckets rows; AQE broadcasts it when its measured
     # size is under the threshold and keeps a shuffle join otherwise.
     joined = d.join(offsets, on=[*part_cols, "_bk"], how="inner")

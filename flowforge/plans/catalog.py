@@ -144,7 +144,7 @@ def q_binary_distribution(spark, sf):
 
 
 def oracle_rounded() -> dict[str, str]:
-    """ORACLE with every double output column rounded to 6 places, matching
+    """ORACLE with every double output column at 11 significant digits, matching
     the Spark side's ``round_doubles``. Column types come from
     ``oracle_doubles.json`` (written by tools/oracle_check.py --doubles)."""
     import json
@@ -155,8 +155,13 @@ def oracle_rounded() -> dict[str, str]:
     for n, sql in ORACLE.items():
         cols = doubles.get(n, [])
         if cols:
-            rep = ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in cols)
+            rep = ", ".join(f'CAST(printf(\'%.10e\', CAST("{c}" AS DOUBLE)) AS DOUBLE) AS "{c}"'
+                            for c in cols)
             out[n] = f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) AS q"
         else:
             out[n] = sql
     return out
+
+
+# registration side effects: each module adds its queries to QUERIES / ORACLE
+from flowforge.plans import q_profile  # noqa: E402,F401
