@@ -75,3 +75,31 @@ def global_row_number(df: DataFrame, order_col: str, rank_col: str = "_rank",
     """Exact 1-based numbering of all rows by a numeric ``order_col``."""
     return bucketed_rank(df, [], [order_col], quantile_bucket(df, order_col, n_buckets),
                          rank_col=rank_col, size_col=size_col)
+
+
+def bucketed_cumsum(df: DataFrame, part_cols: list[str], order_col: str, bucket: Column,
+                    value_cols: list[str], desc: bool = False, prefix: str = "cum_") -> DataFrame:
+    """Inclusive running sums of ``value_cols`` inside ``part_cols`` ordered
+    by ``order_col``: bucket totals -> offsets (tiny) + in-bucket window.
+    ``bucket`` must be monotone in ``order_col``."""
+    d = df.withColumn("_bk", bucket)
+    tot = d.groupBy(*part_cols, "_bk").agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
+    border = F.col("_bk").desc() if desc else F.col("_bk").asc()
+    w_run = (Window.partitionBy(*part_cols).orderBy(border)
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offs = tot.select(*part_cols, "_bk",
+                      *[(F.sum(f"_t_{v}").over(w_run) - F.col(f"_t_{v}")).alias(f"_o_{v}")
+                        for v in value_cols])
+    j = d.join(offs, [*part_cols, "_bk"])
+    okey = F.col(order_col).desc() if desc else F.col(order_col).asc()
+    w_in = (Window.partitionBy(*part_cols, "_bk").orderBy(okey)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    for v in value_cols:
+        j = j.withColumn(f"{prefix}{v}", F.sum(v).over(w_in) + F.col(f"_o_{v}"))
+    return j.drop("_bk", *[f"_o_{v}" for v in value_cols])
+
+
+def unit_bucket(score: str | Column, n: int = 4096) -> Column:
+    """Monotone bucket for a score in [0, 1] (values outside are clamped)."""
+    c = F.col(score) if isinstance(score, str) else score
+    return F.least(F.greatest(F.floor(c * n), F.lit(0)), F.lit(n - 1)).cast("int")

@@ -150,3 +150,57 @@ def with_views(views: list[str], *ctes: str) -> str:
                 order.append(d)
     parts = [_TEXT[d] for d in order] + list(ctes)
     return "WITH " + ",\n".join(parts) + "\n"
+
+
+# Pseudo-model fixture (name, index, share correct in %) and the
+# training seconds of the reference's committed report per (model, task).
+MODEL_FIXTURE = [("DecisionTree", 0, 90), ("RandomForest", 1, 93), ("BoostedTrees", 2, 95),
+                 ("LogisticRegression", 3, 75)]
+TRAIN_SECONDS = [("DecisionTree", "binary", 108.1), ("DecisionTree", "multi", 69.8),
+                 ("RandomForest", "binary", 345.0), ("RandomForest", "multi", 348.2),
+                 ("BoostedTrees", "binary", 26.7), ("BoostedTrees", "multi", 401.4),
+                 ("LogisticRegression", "binary", 27.6), ("LogisticRegression", "multi", 920.7)]
+
+
+def model_preds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of 4 deterministic pseudo-models x 2 tasks for every flow:
+    (model_name, task, flow_id, y_true, y_pred, score). Model and task rows
+    are generated per flow by explode (no join)."""
+    p = preds(spark, sf_dir).select("flow_id", "y_true")
+    c = F.col
+    models = F.array(*[F.struct(F.lit(n).alias("model_name"), F.lit(i).alias("idx"), F.lit(a).alias("acc"))
+                       for n, i, a in MODEL_FIXTURE])
+    b = p.select("flow_id", "y_true", F.explode(models).alias("_m")).select("flow_id", "y_true", "_m.*")
+    ym = F.when((c("flow_id") * 7919 + c("idx") * 104729) % 100 < c("acc"), c("y_true")) \
+          .otherwise((c("y_true") + 1 + c("flow_id") % 5) % 6)
+    b = b.withColumn("ym", ym).withColumn("task", F.explode(F.array(F.lit("binary"), F.lit("multi"))))
+    multi = c("task") == "multi"
+    score = (((c("flow_id") * 7919 + c("idx") * 31) % 1000).cast("double") / F.lit(1000.0) * F.lit(0.6)
+             + F.when(c("y_true") != 0, F.lit(0.4)).otherwise(F.lit(0.0)))
+    return b.select(
+        "model_name", "task", "flow_id",
+        F.when(multi, c("y_true")).otherwise((c("y_true") != 0).cast("int")).cast("int").alias("y_true"),
+        F.when(multi, c("ym")).otherwise((c("ym") != 0).cast("int")).cast("int").alias("y_pred"),
+        F.when(~multi, score).alias("score"))
+
+
+def train_seconds(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(TRAIN_SECONDS, "model_name string, task string, training_time_sec double")
+
+
+SQL_MODEL_PREDS = """mp_m AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{n}', {i}, {a})" for n, i, a in MODEL_FIXTURE) + """) AS v(model_name, idx, acc)),
+mp_base AS (SELECT t.flow_id, t.y_true, m.model_name, m.idx,
+   CASE WHEN (t.flow_id * 7919 + m.idx * 104729) % 100 < m.acc THEN t.y_true ELSE (t.y_true + 1 + t.flow_id % 5) % 6 END AS ym
+   FROM preds t CROSS JOIN mp_m m),
+model_preds AS (SELECT b.model_name, k.task, b.flow_id,
+   CAST(CASE WHEN k.task = 'multi' THEN b.y_true ELSE CASE WHEN b.y_true <> 0 THEN 1 ELSE 0 END END AS INT) AS y_true,
+   CAST(CASE WHEN k.task = 'multi' THEN b.ym ELSE CASE WHEN b.ym <> 0 THEN 1 ELSE 0 END END AS INT) AS y_pred,
+   CASE WHEN k.task = 'binary' THEN CAST((b.flow_id * 7919 + b.idx * 31) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) * CAST(0.6 AS DOUBLE)
+     + CASE WHEN b.y_true <> 0 THEN CAST(0.4 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS score
+   FROM mp_base b CROSS JOIN (VALUES ('binary'), ('multi')) AS k(task)),
+train_seconds AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{n}', '{t}', CAST({s} AS DOUBLE))" for n, t, s in TRAIN_SECONDS) + """) AS v(model_name, task, training_time_sec))"""
+
+_DEPS["model_preds"] = ["li", "flows", "preds", "model_preds"]
+_TEXT["model_preds"] = SQL_MODEL_PREDS

@@ -41,3 +41,41 @@ def sql_cleaned(raw: bool = False, *extra: str) -> str:
     src = "flows_raw" if raw else "flows"
     return FX.with_views([src], SQL_CLEAN_INF.replace("{src}", src), SQL_CLEAN_NN, SQL_CLEAN_DD,
                          SQL_CLEANED, *extra)
+
+
+def final_dataset(spark: SparkSession, sf_dir: str, k: int = 30) -> tuple[DataFrame, list[str]]:
+    """cleaned -> variance filter (0.01) -> correlation filter (0.95) ->
+    forest top-k (only when more than k features remain: otherwise top-k is
+    every feature) -> projection."""
+    from flowforge.operators import features as FE
+    c = cleaned(spark, sf_dir)
+    cols = FE.numeric_features(c)
+    d, _ = FE.variance_filter(c, 0.01, cols)
+    cols = [x for x in cols if x in d.columns]
+    d, _ = FE.correlation_filter(d, 0.95, cols)
+    cols = [x for x in cols if x in d.columns]
+    if len(cols) > k:
+        top = FE.importance_topk(FE.stratified_cap(d, 300000), cols, "Label_Multi", k)
+        cols = [r["feature"] for r in top.orderBy("rank").collect()]
+    return FE.project_selected(d, cols), cols
+
+
+def split_dataset(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    from flowforge.operators.split import stratified_split
+    d, cols = final_dataset(spark, sf_dir)
+    return stratified_split(d, "Label_Multi", FX.KEY, 42), cols
+
+
+# features kept by the 0.01 variance filter at every sf (FIXTURES.md); no pair
+# passes the 0.95 correlation filter, so these are the final features
+FINAL_FEATURES = [c for c in FX.FEATURES if c not in ("const_flag", "mean_discount", "mean_tax")]
+SQL_FINAL = ("final AS (SELECT flow_id, " + ", ".join(FINAL_FEATURES) +
+             ", Label, Label_Binary, Label_Multi FROM cleaned)")
+SQL_SPLIT = """spl AS (SELECT *, CASE WHEN rk <= floor((n * 70 + 50) / 100) THEN 'train'
+    WHEN rk <= floor((n * 70 + 50) / 100) + floor((n - floor((n * 70 + 50) / 100)) / 2) THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT *, row_number() OVER (PARTITION BY Label_Multi ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id) AS rk,
+    count(*) OVER (PARTITION BY Label_Multi) AS n FROM final) x)"""
+
+
+def sql_split(*extra: str) -> str:
+    return sql_cleaned(False, SQL_FINAL, SQL_SPLIT, *extra)
