@@ -166,3 +166,4 @@ def oracle_rounded() -> dict[str, str]:
 # registration side effects: each module adds its queries to QUERIES / ORACLE
 from flowforge.plans import q_profile  # noqa: E402,F401
 from flowforge.plans import q_eval  # noqa: E402,F401
+from flowforge.plans import q_score  # noqa: E402,F401

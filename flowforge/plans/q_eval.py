@@ -47,14 +47,15 @@ def sql_auc(src: str, g: list[str], p: str, label: str, score: str) -> list[str]
 
 
 MG = ["model_name", "task"]
-SQL_MODEL_METRICS = FX.with_views(["model_preds"], *sql_metrics("model_preds", MG, "m_"),
-                                  *sql_auc("model_preds WHERE task = 'binary'", MG, "a_", "y_true = 1", "score"),
-                                  """mm AS (SELECT s.model_name, s.task, round(s.accuracy, 4) AS accuracy,
+METRIC_CTES = [*sql_metrics("model_preds", MG, "m_"),
+               *sql_auc("model_preds WHERE task = 'binary'", MG, "a_", "y_true = 1", "score"),
+               """mm AS (SELECT s.model_name, s.task, round(s.accuracy, 4) AS accuracy,
   round(s.precision_weighted, 4) AS precision_weighted, round(s.recall_weighted, 4) AS recall_weighted,
   round(s.f1_weighted, 4) AS f1_weighted, round(s.f1_macro, 4) AS f1_macro, round(a.roc_auc, 4) AS roc_auc,
   round(t.training_time_sec, 1) AS training_time_sec
   FROM m_sm s LEFT JOIN a_auc a ON s.model_name = a.model_name AND s.task = a.task
-  LEFT JOIN train_seconds t ON s.model_name = t.model_name AND s.task = t.task)""")
+  LEFT JOIN train_seconds t ON s.model_name = t.model_name AND s.task = t.task)"""]
+SQL_MODEL_METRICS = FX.with_views(["model_preds"], *METRIC_CTES)
 
 
 def model_metrics(spark, sf):

@@ -37,10 +37,13 @@ SQL_CLEANED = ("cleaned AS (SELECT flow_id, " + ", ".join(FX.FEATURES) +
                " CAST(dense_rank() OVER (ORDER BY trim(label)) - 1 AS INT) AS Label_Multi FROM clean_dd)")
 
 
-def sql_cleaned(raw: bool = False, *extra: str) -> str:
+def clean_ctes(raw: bool = False) -> list[str]:
     src = "flows_raw" if raw else "flows"
-    return FX.with_views([src], SQL_CLEAN_INF.replace("{src}", src), SQL_CLEAN_NN, SQL_CLEAN_DD,
-                         SQL_CLEANED, *extra)
+    return [SQL_CLEAN_INF.replace("{src}", src), SQL_CLEAN_NN, SQL_CLEAN_DD, SQL_CLEANED]
+
+
+def sql_cleaned(raw: bool = False, *extra: str) -> str:
+    return FX.with_views(["flows_raw" if raw else "flows"], *clean_ctes(raw), *extra)
 
 
 def final_dataset(spark: SparkSession, sf_dir: str, k: int = 30) -> tuple[DataFrame, list[str]]:
