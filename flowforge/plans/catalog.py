@@ -168,3 +168,4 @@ from flowforge.plans import q_profile  # noqa: E402,F401
 from flowforge.plans import q_eval  # noqa: E402,F401
 from flowforge.plans import q_score  # noqa: E402,F401
 from flowforge.plans import q_models  # noqa: E402,F401
+from flowforge.plans import q_explain  # noqa: E402,F401
