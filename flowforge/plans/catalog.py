@@ -170,3 +170,4 @@ from flowforge.plans import q_score  # noqa: E402,F401
 from flowforge.plans import q_models  # noqa: E402,F401
 from flowforge.plans import q_explain  # noqa: E402,F401
 from flowforge.plans import q_stream  # noqa: E402,F401
+from flowforge.plans import q_tune  # noqa: E402,F401
