@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowforge.session import cut_lineage
+
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
                     n_buckets: int = 512, accuracy: int = 100000) -> DataFrame:
@@ -30,7 +32,9 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
         raise ValueError("exact_quantiles needs at least one group column")
     g = list(group_cols)
     v = F.col(value_col).cast("double")
-    d = df.where(v.isNotNull() & ~F.isnan(v)).select(*g, v.alias("_v"))
+    # the plan below reads its input in several branches: materialise it once
+    # (reliable checkpoint) instead of re-running the upstream lineage per branch
+    d = cut_lineage(df.where(v.isNotNull() & ~F.isnan(v)).select(*g, v.alias("_v")))
     splits = [i / n_buckets for i in range(1, n_buckets)]
     bounds = d.groupBy(*g).agg(F.percentile_approx("_v", splits, accuracy).alias("_bounds"))
     db = (d.join(bounds, g)

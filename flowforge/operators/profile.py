@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from flowforge.functions.expr import hash_order, is_numeric
 from flowforge.functions.quantiles import exact_quantiles, quantile_wide
 from flowforge.functions.sequence import bucketed_rank, md5_bucket
+from flowforge.session import cut_lineage
 
 LABEL_COLS = ("Label", "Label_Binary", "Label_Multi")
 # The box-plot features searched for by name (case-insensitive).
@@ -195,7 +196,7 @@ def box_stats_by_class(sample: DataFrame, cols: list[str], class_col: str = "Lab
     """Upper-clip each feature at its p99 over the whole sample, then per class
     Q1 / median / Q3, 1.5 IQR whiskers (furthest data point inside) and the
     outlier count."""
-    long = to_long(sample, cols, [class_col])
+    long = cut_lineage(to_long(sample, cols, [class_col]))  # the sample is bounded (n rows)
     p99 = quantile_wide(exact_quantiles(long, ["feature"], "value", [upper]), ["feature"],
                         {upper: "_cap"})
     clipped = long.join(p99, "feature").withColumn(
