@@ -75,9 +75,11 @@ class OneVsRestGBTModel(Model):
         return cls(models, meta["classes"], meta["featuresCol"])
 
 
-def fit_ovr_gbt(train: DataFrame, label_col: str, classes: list[int], parallelism: int = 4,
+def fit_ovr_gbt(train: DataFrame, label_col: str, classes: list[int], parallelism: int | None = None,
                 **gbt_params) -> OneVsRestGBTModel:
-    """One binary GBT per class, fitted as concurrent Spark jobs."""
+    """One binary GBT per class, fitted as concurrent Spark jobs (default:
+    all classes at once, at most 8)."""
+    parallelism = parallelism or min(len(classes), 8)
     def fit_one(c):
         d = train.withColumn("_bin", (F.col(label_col) == c).cast("double"))
         return GBTClassifier(labelCol="_bin", featuresCol="features", **gbt_params).fit(d)
@@ -115,7 +117,7 @@ def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_co
 
 def fit_model(name: str, task: str, train: DataFrame, label_col: str, classes: list[int],
               n_train: int, weight_col: str | None = "weight", params: dict | None = None,
-              parallelism: int = 4):
+              parallelism: int | None = None):
     """Fit one (model, task). Boosted trees take no class weights."""
     est = make_estimator(name, task, n_train, label_col,
                          None if name == "BoostedTrees" else weight_col, params=params)
