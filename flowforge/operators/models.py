@@ -109,6 +109,7 @@ def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_co
         C = p.pop("C", 1.0)
         return LogisticRegression(labelCol=label_col, featuresCol="features",
                                   maxIter=p.pop("maxIter", 1000), regParam=1.0 / (C * max(n_train, 1)),
+                                  tol=p.pop("tol", 1e-4),  # the reference estimator's default tolerance
                                   elasticNetParam=p.pop("elasticNetParam", 0.0), standardization=False,
                                   family="binomial" if task == "binary" else "multinomial",
                                   **({"weightCol": weight_col} if weight_col else {}), **p)
