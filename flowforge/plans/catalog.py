@@ -2,8 +2,8 @@
 oracle SQL where the operator is SQL-expressible.
 
 Every query reads the driver tables (through the fixture views) so its work
-grows with them. Doubles are rounded to 6 places in both engines for the
-value-hash comparison.
+grows with them. Doubles are normalised to 11 significant digits in both
+engines for the value-hash comparison.
 """
 
 from __future__ import annotations
@@ -37,14 +37,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def r6(expr: str, alias: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
-
-
-def _sel_flows(cols: list[str]) -> str:
-    return ", ".join(cols)
-
-
 NO_ID = ["flow_id"] + FX.FEATURES + ["label"]
 
 
@@ -61,7 +53,7 @@ def q_normalize_columns(spark, sf):
 
 
 @register("drop_identity_columns",
-          FX.with_views(["flows"]) + f"SELECT {_sel_flows(NO_ID)} FROM flows")
+          FX.with_views(["flows"]) + f"SELECT {', '.join(NO_ID)} FROM flows")
 def q_drop_identity_columns(spark, sf):
     return C.drop_identity_columns(FX.flows(spark, sf), FX.IDENTITY)
 

@@ -115,3 +115,29 @@ def test_label_multi_is_alphabetical(spark):
     df = spark.createDataFrame([("PortScan",), ("BENIGN",), ("Bot",), ("DDoS",)], "Label string")
     codes = {r["Label"]: r["Label_Multi"] for r in L.label_multi(df).collect()}
     assert codes == {"BENIGN": 0, "Bot": 1, "DDoS": 2, "PortScan": 3}
+
+
+def test_validate_features_lists_missing(spark):
+    from flowforge.operators import score as SC
+    df = spark.createDataFrame([(1.0, 2.0)], "` a` double, b double")
+    SC.validate_features(df, ["a", "b"])  # header padding is trimmed
+    with pytest.raises(ValueError, match="Missing"):
+        SC.validate_features(df, ["a", "b", "c"])
+
+
+def test_match_columns_and_fallback(spark):
+    from flowforge.operators import profile as P
+    df = spark.createDataFrame([(1, 1.0, 2.0, 3.0)],
+                               "flow_id long, `Flow Duration` double, `Total Fwd Packets` double, z double")
+    assert P.match_columns(df) == ["Flow Duration", "Total Fwd Packets"]
+    df2 = spark.createDataFrame([(1, 1.0, 2.0)], "flow_id long, p double, q double")
+    assert P.match_columns(df2) == ["p", "q"]
+
+
+def test_partial_records_use_defaults(spark):
+    from flowforge.operators import score as SC
+    defaults = spark.createDataFrame([(0, "a", 0.5), (1, "b", -1.0), (2, "c", 2.0)],
+                                     "pos int, feature string, default double")
+    recs = SC.partial_records(spark, [{"a": 3.0}, {"b": 7.0}], ["a", "b", "c"], defaults, n_given=2)
+    rows = {r["rec_id"]: (r["a"], r["b"], r["c"]) for r in recs.collect()}
+    assert rows == {0: (3.0, -1.0, 2.0), 1: (0.5, 7.0, 2.0)}
