@@ -159,9 +159,9 @@ def q_macro_f1(spark, sf):
   SELECT DISTINCT trim(label) AS name, CAST(dense_rank() OVER (ORDER BY trim(label)) - 1 AS INT) AS code FROM flows)""") +
           """SELECT coalesce(nm.name, CAST(pm.label AS VARCHAR)) AS row, pm.precision, pm.recall, pm.f1, pm.support
 FROM p_pm pm LEFT JOIN nm ON nm.code = pm.label
-UNION ALL SELECT 'accuracy', NULL, NULL, accuracy, (SELECT sum(support) FROM p_pm) FROM p_sm
-UNION ALL SELECT 'macro avg', (SELECT avg(precision) FROM p_pm), (SELECT avg(recall) FROM p_pm), f1_macro, (SELECT sum(support) FROM p_pm) FROM p_sm
-UNION ALL SELECT 'weighted avg', precision_weighted, recall_weighted, f1_weighted, (SELECT sum(support) FROM p_pm) FROM p_sm""")
+UNION ALL SELECT 'accuracy', NULL, NULL, accuracy, CAST((SELECT sum(support) FROM p_pm) AS BIGINT) FROM p_sm
+UNION ALL SELECT 'macro avg', (SELECT avg(precision) FROM p_pm), (SELECT avg(recall) FROM p_pm), f1_macro, CAST((SELECT sum(support) FROM p_pm) AS BIGINT) FROM p_sm
+UNION ALL SELECT 'weighted avg', precision_weighted, recall_weighted, f1_weighted, CAST((SELECT sum(support) FROM p_pm) AS BIGINT) FROM p_sm""")
 def q_classification_report(spark, sf):
     names = L.label_mapping(FX.flows(spark, sf).select(F.trim("label").alias("Label")))
     return EV.classification_report(FX.preds(spark, sf), names=names)
