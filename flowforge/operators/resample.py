@@ -29,6 +29,7 @@ from flowforge.operators.features import class_quota_rank
 from flowforge.session import cut_lineage
 
 log = logging.getLogger(__name__)
+GEN_CHUNK = 100000  # synthetic rows generated per task slice of one base row
 
 
 def _sqdist(cols: list[str]) -> F.Column:
@@ -38,55 +39,79 @@ def _sqdist(cols: list[str]) -> F.Column:
 def knn_within_class(df: DataFrame, cols: list[str], label_col: str = "Label_Multi",
                      key: str = "flow_id", k: int = 5, g: int = 2, max_rounds: int = 40) -> DataFrame:
     """(key, label, nb_rank 1..k, nb_key, dist) — exact k nearest other rows
-    of the same class (fewer when the class is smaller than k + 1)."""
-    pts = df.select(key, label_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    var = pts.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
+    of the same class (fewer when the class is smaller than k + 1).
+
+    The search runs on distinct vectors with multiplicities: a row's own
+    copies fill its first ranks at distance 0, so a huge group of identical
+    rows needs no candidates at all (no pairs among copies are formed).
+    ``nb_key`` is the smallest key holding the neighbour's vector."""
+    rows = df.select(key, label_col, *[F.col(c).cast("double").alias(c) for c in cols])
+    vec = cut_lineage(rows.groupBy(label_col, *cols).agg(F.min(key).alias("_v"),
+                                                         F.count(F.lit(1)).alias("_m")))
+    nbv = _knn_vectors(vec, cols, label_col, k, g, max_rounds)
+    rv = rows.join(vec.select(label_col, *cols, "_v"), [label_col, *cols])  # hot vector: AQE skew join
+    return rv.join(nbv, "_v").select(key, label_col, "nb_rank", F.col("nb_v").alias("nb_key"), "dist")
+
+
+def _knn_vectors(vec: DataFrame, cols: list[str], label_col: str, k: int, g: int,
+                 max_rounds: int) -> DataFrame:
+    """(_v, nb_rank, nb_v, dist) over distinct vectors (_v, _m = copies)."""
+    var = vec.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
     dims = sorted(cols, key=lambda c: -(var[c] or 0.0))[:g]
-    st = pts.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("_n"),
+    st = vec.groupBy(label_col).agg(
+        F.count(F.lit(1)).alias("_nd"), F.sum("_m").alias("_n"),
         F.greatest(*[F.max(d) - F.min(d) for d in dims]).alias("_span"))
     st = st.withColumn("_w0", F.when(F.col("_span") > 0, F.col("_span") / F.ceil(
-        F.pow(F.col("_n").cast("double"), 1.0 / len(dims)))).otherwise(F.lit(1.0)))
-    pts = cut_lineage(pts.join(st, label_col))  # st: one row per class (AQE broadcasts it)
+        F.pow(F.col("_nd").cast("double"), 1.0 / len(dims)))).otherwise(F.lit(1.0)))
+    pts = cut_lineage(vec.join(st, label_col)
+                      .withColumn("_self", F.least(F.lit(k), F.col("_m") - 1))
+                      .withColumn("_need", F.least(F.lit(k), F.col("_n") - 1) - F.col("_self")))
+    # ranks filled by the row's own copies (distance 0)
+    selfr = (pts.where(F.col("_self") > 0)
+             .select("_v", F.explode(F.sequence(F.lit(1), F.col("_self"))).alias("nb_rank"))
+             .select("_v", "nb_rank", F.col("_v").alias("nb_v"), F.lit(0.0).alias("dist")))
     offsets = list(itertools.product([-1, 0, 1], repeat=len(dims)))
     off_arr = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets])
-    done = None
-    todo = pts.select(key, label_col)
+    done = selfr
+    todo = pts.where(F.col("_need") > 0).select("_v")
     for r in range(max_rounds):
+        if todo.isEmpty():
+            break
         w = F.col("_w0") * F.lit(2.0 ** r)
         cell = [F.floor(F.col(d) / w).cast("long") for d in dims]
-        p = pts.select(F.col(key).alias("p_key"), label_col,
+        p = pts.select(F.col("_v").alias("p_v"), F.col("_m").alias("p_m"), label_col,
                        *[cell[i].alias(f"c{i}") for i in range(len(dims))],
                        *[F.col(c).alias(f"p_{c}") for c in cols])
-        q = (pts.join(todo, [key, label_col], "left_semi")
-             .select(F.col(key).alias("q_key"), label_col, "_n", "_span", w.alias("_w"),
+        q = (pts.join(todo, "_v", "left_semi")
+             .select(F.col("_v").alias("q_v"), label_col, "_self", "_need", "_span", w.alias("_w"),
                      *[cell[i].alias(f"qc{i}") for i in range(len(dims))],
                      *[F.col(c).alias(f"q_{c}") for c in cols], F.explode(off_arr).alias("_o"))
-             .select("q_key", label_col, "_n", "_span", "_w", *[f"q_{c}" for c in cols],
+             .select("q_v", label_col, "_self", "_need", "_span", "_w", *[f"q_{c}" for c in cols],
                      *[(F.col(f"qc{i}") + F.col("_o")[i]).alias(f"c{i}") for i in range(len(dims))]))
         cand = (q.join(p, [label_col, *[f"c{i}" for i in range(len(dims))]])
-                .where(F.col("q_key") != F.col("p_key"))
-                .select("q_key", label_col, "_n", "_span", "_w", "p_key", _sqdist(cols).alias("_d2")))
-        wq = Window.partitionBy("q_key").orderBy("_d2", "p_key")
-        top = (cand.withColumn("nb_rank", F.row_number().over(wq))
-               .withColumn("_m", F.count(F.lit(1)).over(Window.partitionBy("q_key")))
-               .where(F.col("nb_rank") <= k))
-        kth = top.groupBy("q_key").agg(F.max("_d2").alias("_dk2"), F.first("_m").alias("_m"),
-                                       F.first("_n").alias("_n"), F.first("_w").alias("_w"),
+                .where(F.col("q_v") != F.col("p_v"))
+                .select("q_v", "_self", "_need", "_span", "_w", "p_v", "p_m", _sqdist(cols).alias("_d2")))
+        wq = Window.partitionBy("q_v").orderBy("_d2", "p_v")
+        cum = cand.withColumn("_before", F.coalesce(
+            F.sum("p_m").over(wq.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        kept = cum.where(F.col("_before") < F.col("_need"))
+        stat = kept.groupBy("q_v").agg(F.max("_d2").alias("_dk2"),
+                                       F.max(F.col("_before") + F.col("p_m")).alias("_got"),
+                                       F.first("_need").alias("_need"), F.first("_w").alias("_w"),
                                        F.first("_span").alias("_span"))
-        need = F.least(F.lit(k), F.col("_n") - 1)
-        ok = kth.where(((F.col("_m") >= need) & (F.col("_dk2") <= F.col("_w") ** 2))
-                       | (F.col("_w") >= F.col("_span"))).select("q_key")
-        got = cut_lineage(top.join(ok, "q_key", "left_semi")
-                          .select(F.col("q_key").alias(key), label_col, "nb_rank",
-                                  F.col("p_key").alias("nb_key"), F.sqrt("_d2").alias("dist")))
-        done = got if done is None else done.unionByName(got)
-        # rows with no candidate at all never appear in kth: keep them in todo
-        todo = cut_lineage(todo.join(got.select(key).distinct(), key, "left_anti"))
-        singles = todo.join(st.where(F.col("_n") <= 1), label_col, "left_semi")
-        todo = todo.join(singles, [key, label_col], "left_anti")
-        if todo.isEmpty():
-            break
+        ok = stat.where(((F.col("_got") >= F.col("_need")) & (F.col("_dk2") <= F.col("_w") ** 2))
+                        | (F.col("_w") >= F.col("_span"))).select("q_v")
+        take = F.least(F.col("p_m"), F.col("_need") - F.col("_before"))
+        got = cut_lineage(
+            kept.join(ok, "q_v", "left_semi")
+            .select(F.col("q_v").alias("_v"), "p_v", F.sqrt("_d2").alias("dist"),
+                    F.explode(F.sequence(F.col("_self") + F.col("_before") + 1,
+                                         F.col("_self") + F.col("_before") + take)).alias("nb_rank"))
+            .select("_v", "nb_rank", F.col("p_v").alias("nb_v"), "dist"))
+        done = done.unionByName(got)
+        todo = cut_lineage(todo.join(got.select("_v").distinct(), "_v", "left_anti"))
+    else:
+        r = max_rounds
     log.info("knn certified after %d rounds", r + 1)
     return done
 
@@ -109,8 +134,14 @@ def smote_oversample(df: DataFrame, cols: list[str], label_col: str = "Label_Mul
     ranked = class_quota_rank(mino, label_col, key, seed).join(
         counts.select(label_col, "_s", "_off"), label_col)
     per = F.floor(F.col("_s") / F.col("_n")) + F.when((F.col("_rank") - 1) < F.col("_s") % F.col("_n"), 1).otherwise(0)
-    gen = (ranked.withColumn("_cnt", per.cast("int")).where(F.col("_cnt") > 0)
-           .withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("_cnt") - 1)))
+    # a base row of a tiny class may need millions of copies: explode chunk
+    # ids first, spread the chunks over tasks, then explode inside each chunk
+    chunk = F.lit(GEN_CHUNK)
+    gen = (ranked.withColumn("_cnt", per.cast("long")).where(F.col("_cnt") > 0)
+           .withColumn("_ch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_cnt") - 1) / chunk))))
+           .repartition(key, "_ch")
+           .withColumn("_t", F.explode(F.sequence(F.col("_ch") * chunk,
+                                                  F.least(F.col("_cnt"), (F.col("_ch") + 1) * chunk) - 1)))
            .withColumn("_j", F.col("_rank") - 1 + F.col("_t") * F.col("_n")))
     kk = nb.groupBy(key).agg(F.max("nb_rank").alias("_k"))
     gen = (gen.join(kk, key)

@@ -195,3 +195,21 @@ def test_run_stages_end_to_end(spark, tmpdir_path):
     alerts = spark.read.parquet(paths["alerts"])
     assert alerts.where(F.col("alert_id") == "ALT-00001").count() == 1
     assert spark.read.parquet(paths["split"]).where("split = 'test'").count() > 0
+
+
+def test_knn_exact_with_hot_duplicate_group(spark):
+    base = spark.range(0, 100).select(F.col("id").alias("flow_id"), F.lit(0).cast("long").alias("Label_Multi"),
+                                      ((F.col("id") * 37) % 101).cast("double").alias("a"),
+                                      ((F.col("id") * 53) % 97).cast("double").alias("b"))
+    dup = spark.range(100, 300).select(F.col("id").alias("flow_id"), F.lit(0).cast("long").alias("Label_Multi"),
+                                       F.lit(5.0).alias("a"), F.lit(7.0).alias("b"))
+    df = base.unionByName(dup)
+    nb = RS.knn_within_class(df, ["a", "b"], k=5)
+    pts = df.toPandas()
+    got = {}
+    for r in nb.collect():
+        got.setdefault(r["flow_id"], []).append(r["dist"])
+    for _, r in pts.iterrows():
+        other = pts[pts.flow_id != r.flow_id]
+        d = sorted(((other.a - r.a) ** 2 + (other.b - r.b) ** 2) ** 0.5)[:5]
+        assert [round(x, 9) for x in sorted(got[r.flow_id])] == [round(x, 9) for x in d]
