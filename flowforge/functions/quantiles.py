@@ -24,7 +24,7 @@ from flowforge.session import cut_lineage
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
-                    n_buckets: int = 512, accuracy: int = 100000) -> DataFrame:
+                    n_buckets: int = 512, accuracy: int = 10000) -> DataFrame:
     """(group_cols..., prob, q): exact linear-interpolated quantiles of
     ``value_col`` per group; null/NaN values are ignored. ``group_cols`` must
     be non-empty (long-form inputs carry a ``feature`` column)."""
