@@ -123,14 +123,14 @@ def q_decode_label(spark, sf):
 
 
 @register("class_distribution", S.sql_cleaned() + """SELECT Label AS label, CAST(count(*) AS BIGINT) AS count,
-  round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS pct FROM cleaned GROUP BY Label""")
+  CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE) AS pct FROM cleaned GROUP BY Label""")
 def q_class_distribution(spark, sf):
     return L.class_distribution(S.cleaned(spark, sf))
 
 
 @register("binary_distribution", S.sql_cleaned() + """SELECT Label_Binary AS label_binary,
   CASE WHEN Label_Binary = 0 THEN 'Benign' ELSE 'Attack' END AS name, CAST(count(*) AS BIGINT) AS count,
-  round(CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM cleaned GROUP BY Label_Binary""")
+  CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share FROM cleaned GROUP BY Label_Binary""")
 def q_binary_distribution(spark, sf):
     return L.binary_distribution(S.cleaned(spark, sf))
 
