@@ -135,6 +135,24 @@ def cross_validate(family: str, task: str, data: DataFrame, label_col: str, clas
     return sum(scores) / len(scores)
 
 
+def untuned_baseline(family: str, task: str, tune: DataFrame, test: DataFrame, classes: list[int]):
+    """Default parameters (balanced weights except boosted trees) fit on the
+    tuning rows; returns (model, test weighted F1)."""
+    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
+    m = M.fit_model(family, task, tune, label_col, classes, tune.count(), "weight")
+    return m, weighted_f1(m, test, label_col)
+
+
+def refit_best(family: str, task: str, train: DataFrame, test: DataFrame, classes: list[int],
+               best: dict):
+    """Refit the chosen reference-named parameters on the full train split;
+    returns (model, test weighted F1)."""
+    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
+    m = M.fit_model(family, task, train, label_col, classes, train.count(), "weight",
+                    to_spark_params(family, best))
+    return m, weighted_f1(m, test, label_col)
+
+
 def random_search_cv(family: str, train: DataFrame, test: DataFrame, classes: list[int],
                      task: str = "multi", n_iter: int = 15, k: int = 3, seed: int = 42,
                      tune_rows: DataFrame | None = None, parallelism: int = 4) -> dict:
@@ -144,8 +162,7 @@ def random_search_cv(family: str, train: DataFrame, test: DataFrame, classes: li
     label_col = "Label_Binary" if task == "binary" else "Label_Multi"
     tune = tune_rows if tune_rows is not None else train
     spark = train.sparkSession
-    base = M.fit_model(family, task, tune, label_col, classes, tune.count(), "weight")
-    original_f1 = weighted_f1(base, test, label_col)
+    _, original_f1 = untuned_baseline(family, task, tune, test, classes)
     cands = sample_params(param_space(spark, family), n_iter, seed)
     folds = stratified_folds(tune, k, label_col).persist()
     t0 = time.time()
@@ -155,9 +172,7 @@ def random_search_cv(family: str, train: DataFrame, test: DataFrame, classes: li
     folds.unpersist()
     best_i = max(range(len(cands)), key=lambda i: (scores[i], -i))
     best = cands[best_i]
-    refit = M.fit_model(family, task, train, label_col, classes, train.count(), "weight",
-                        to_spark_params(family, best))
-    tuned_f1 = weighted_f1(refit, test, label_col)
+    refit, tuned_f1 = refit_best(family, task, train, test, classes, best)
     return {"model_name": family, "original_f1": original_f1, "tuned_f1": tuned_f1,
             "best_cv_f1": scores[best_i], "best_params": {k2: json.dumps(v) for k2, v in best.items()},
             "search_time_sec": search_secs, "model": refit}
