@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowforge.llm import mixing, packing, wavelet
+from flowforge.llm import mixing, packing, substring, wavelet
 from flowforge.llm.common import shared_path
 
 
@@ -27,6 +27,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op8_wavelet_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "wavelet")
     wavelet.write_shards(table(spark, sf_dir, "documents"), path, tokenizer("byte_bpe_50k.json"), 2)
@@ -41,6 +47,7 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_remove_repeats": op2_remove_repeats,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_retrieval_packing": op9_retrieval_packing,
 }
@@ -73,4 +80,17 @@ r AS (SELECT k.*, source_size, target,
       FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source),
 p AS (SELECT *, CAST(least(floor(u + e * g) - floor(u + e * (g - 1)), 2) AS BIGINT) AS copies FROM r)
 SELECT doc_id, source, size, source_size, target, copies, copies * size AS taken FROM p""",
+    "op2_remove_repeats": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+n AS (SELECT rid, doc_id, i, array_to_string(w[i:i + 49], ' ') AS g
+      FROM (SELECT rid, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+m AS (SELECT g, min(doc_id) AS least FROM n GROUP BY g),
+c AS (SELECT DISTINCT rid, unnest(range(i, i + 50)) AS p FROM n JOIN m USING (g) WHERE doc_id > least),
+p AS (SELECT rid, list(p) AS gone FROM c GROUP BY rid),
+x AS (SELECT d.rid, d.doc_id, w, unnest(CASE WHEN len(w) = 0 THEN [0] ELSE range(1, len(w) + 1) END) AS p FROM d),
+k AS (SELECT x.rid, x.doc_id, len(any_value(w)) AS n_words, count(c.p) AS n_removed,
+        coalesce(string_agg(CASE WHEN c.p IS NULL AND x.p > 0 THEN w[x.p] END, ' ' ORDER BY x.p), '') AS kept
+      FROM x LEFT JOIN c ON x.rid = c.rid AND x.p = c.p GROUP BY x.rid, x.doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, n_removed, sha256(kept) AS kept_sha256 FROM k""",
 }
