@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowforge.llm import chat, lshforest, mixing, packing, substring, topk, wavelet
+from flowforge.llm import chat, lshforest, mixing, packing, quality, secret_scan, substring, topk, wavelet
 from flowforge.llm.common import shared_path
 
 
@@ -40,6 +40,22 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(turns.union(extra)))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                   table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "flow")
+    counts = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
+              for k in ("assign", "access", "hex")]
+    return scanned.select("doc_id", *counts,
+                          F.sha2(secret_scan.joined_spans(base).cast("binary"), 256).alias("base_sha256"),
+                          secret_scan.joined_spans(F.col("secrets")).alias("spans"))
+
+
 def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lshforest.near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("th")
 
@@ -67,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_remove_repeats": op2_remove_repeats,
     "op4_chat_format": op4_chat_format,
+    "op5_quality": op5_quality,
+    "op6_secret_scan": op6_secret_scan,
     "op7_lsh_forest": op7_lsh_forest,
     "op8_wavelet_ids": op8_wavelet_ids,
     "op9_retrieval_packing": op9_retrieval_packing,
