@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowforge.llm.common import (
-    bounded_batches, hash_words, row_slices, scan_words, stored, string_bytes, text_or_empty)
+    bounded_batches, hash_words, row_slices, scan_words, string_bytes, text_or_empty)
 
 BUCKETS = 1 << 15
 WIDTH = 32
@@ -99,33 +99,21 @@ def word_vectors(sums: np.ndarray) -> np.ndarray:
     return (damped / np.where(norm > 0, norm, 1)).astype(np.float32)
 
 
-def document_features(docs: DataFrame) -> DataFrame:
-    """``docs`` columns but text, and features (float32 values as binary)."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    vectors = spark.sparkContext.broadcast(word_vectors(context_vectors(docs)))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text_or_empty().alias("text"))
-
-    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for word, first in _buckets(*string_bytes(batch.column(1)), 1 << 20):
-                n = np.diff(first)
-                some = n > 0
-                mean = np.zeros((len(n), WIDTH), np.float32)
-                square = np.zeros_like(mean)
-                if len(word):
-                    x = vectors.value[word]
-                    mean[some] = np.add.reduceat(x, first[:-1][some], axis=0) / n[some, None]
-                    square[some] = np.add.reduceat(x * x, first[:-1][some], axis=0) / n[some, None]
-                spread = np.sqrt(np.maximum(square - mean * mean, 0))
-                parts.append(np.hstack([mean, spread, np.log1p(n)[:, None].astype(np.float32)]))
-            raw = np.concatenate(parts).astype("<f4") if parts else np.zeros((0, 1), "<f4")
-            yield pa.record_batch([batch.column(0), pa.array([r.tobytes() for r in raw], pa.binary())],
-                                  names=["row", "features"])
-
-    row_type = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(pool, f"row {row_type}, features binary")
+def pooled(vectors: np.ndarray, text: pa.Array) -> np.ndarray:
+    """Features of each text: mean and spread of its word vectors, log length."""
+    parts = []
+    for word, first in _buckets(*string_bytes(text), 1 << 20):
+        n = np.diff(first)
+        some = n > 0
+        mean = np.zeros((len(n), WIDTH), np.float32)
+        square = np.zeros_like(mean)
+        if len(word):
+            x = vectors[word]
+            mean[some] = np.add.reduceat(x, first[:-1][some], axis=0) / n[some, None]
+            square[some] = np.add.reduceat(x * x, first[:-1][some], axis=0) / n[some, None]
+        spread = np.sqrt(np.maximum(square - mean * mean, 0))
+        parts.append(np.hstack([mean, spread, np.log1p(n)[:, None]]))
+    return np.concatenate(parts).astype(float) if parts else np.zeros((0, 2 * WIDTH + 1))
 
 
 class Network:
@@ -183,49 +171,51 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(features: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Network | None:
+def train(docs: DataFrame, labels: DataFrame, vectors, most_rows: int = 20_000) -> Network | None:
     """Fitted on labelled rows that are not held out, about ``most_rows`` at
-    most (bounded: this sample alone reaches the driver)."""
+    most: ids and features of this sample alone reach the driver, and its ids
+    are the only table that is broadcast."""
     one = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("y"), F.max("quality").alias("z")).where("y = z") \
-        .where(~held_out(F.col("doc_id"))).select("doc_id", "y")
+        .where(~held_out(F.col("doc_id"))).select("doc_id", F.col("y").cast("double"))
     n = one.count()
-    if not n:
-        return None
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, most_rows / n) * (1 << 20))
-    sample = features.select(F.col("row.doc_id").alias("doc_id"), "features").where(part).join(one.where(part), "doc_id")
-    rows = sample.dropDuplicates(["doc_id"]).select("doc_id", "features", F.col("y").cast("double")).orderBy("doc_id") \
-        .limit(2 * most_rows).toPandas()
-    if not len(rows):
-        return None
-    x = np.stack([np.frombuffer(f, "<f4") for f in rows["features"]]).astype(float)
-    aside = (rows["doc_id"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(5) == 0
-    return Network().fit(x, rows["y"].to_numpy(), aside)
-
-
-def score_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> DataFrame:
-    """``docs`` columns but text, with held_out, score and predicted; and th,
-    the hash of the text, by which a row is found again."""
-    own = docs.withColumn("th", F.xxhash64(text_or_empty()))
-    keep = own.select(*[F.col(f"`{c}`") for c in own.columns if c not in ("held_out", "score", "predicted")])
-    return _scored(stored(_without_text(document_features(keep)), "features"), labels, most_rows)
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(min(1.0, most_rows / max(n, 1)) * (1 << 20))
+    texts = docs.select("doc_id", text_or_empty().alias("text")).where(part).join(F.broadcast(one.where(part)), "doc_id")
 
+    def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = pooled(vectors.value, batch.column(2))
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())],
+                                  names=["doc_id", "y", "x"])
 
-def _without_text(features: DataFrame) -> DataFrame:
-    return features.withColumn("row", F.col("row").dropFields("text"))
+    sample = texts.select(F.col("doc_id").cast("long"), "y", "text").mapInArrow(pool, "doc_id bigint, y double, x binary")
+    rows = sample.groupBy("doc_id").agg(F.min(F.struct("x", "y")).alias("r")).select("doc_id", "r.*").collect()
+    if not rows:
+        return None
+    rows = sorted(rows)
+    x = np.stack([np.frombuffer(r["x"]) for r in rows])
+    ids = np.array([r["doc_id"] for r in rows], np.int64).view(np.uint64)
+    aside = (ids * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(5) == 0
+    return Network().fit(x, np.array([r["y"] for r in rows]), aside)
 
 
-def _scored(features: DataFrame, labels: DataFrame, most_rows: int) -> DataFrame:
-    network = train(features, labels, most_rows)
-    model = features.sparkSession.sparkContext.broadcast(network)
+def score_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000, carry: list[str] | None = None) -> DataFrame:
+    """The columns ``carry`` of ``docs`` (default: all) with held_out, score
+    and predicted."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    vectors = spark.sparkContext.broadcast(word_vectors(context_vectors(docs)))
+    model = spark.sparkContext.broadcast(train(docs, labels, vectors, most_rows))
+    carry = [c for c in (carry or docs.columns) if c not in ("held_out", "score", "predicted")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), text_or_empty().alias("text"),
+                       held_out(F.col("doc_id")).alias("held_out"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.array([np.frombuffer(f, "<f4") for f in batch.column(1).to_pylist()], float)
-            p = model.value.probability(x) if model.value is not None and len(x) else np.full(len(x), 0.5)
-            yield pa.record_batch([batch.column(0), pa.array(p)], names=["row", "score"])
-
-    row_type = features.schema["row"].dataType.simpleString()
-    return features.select("row", "features").mapInArrow(score, f"row {row_type}, score double") \
-        .select("row.*", held_out(F.col("row.doc_id")).alias("held_out"), "score",
-                (F.col("score") >= 0.5).cast("int").alias("predicted"))
+            x = pooled(vectors.value, batch.column(1))
+            p = model.value.probability(x) if model.value is not None else np.full(len(x), 0.5)
+            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(p)], names=["row", "held_out", "score"])
+
+    row_type = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(score, f"row {row_type}, held_out boolean, score double").select(
+        "row.*", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowforge.llm import chat, lshforest, mixing, packing, quality, secret_scan, substring, topk, wavelet
+from flowforge.llm import chat, flatgraph, lshforest, mixing, packing, quality, secret_scan, substring, topk, wavelet
 from flowforge.llm.common import shared_path
 
 
@@ -33,6 +33,10 @@ def op2_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "<|im_end|><|im_start|>assistant ok"
@@ -41,9 +45,7 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = quality.score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                   table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "held_out", "score", "predicted")
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=["doc_id"])
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,7 @@ def op10_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_remove_repeats": op2_remove_repeats,
+    "op3_flat_graph": op3_flat_graph,
     "op4_chat_format": op4_chat_format,
     "op5_quality": op5_quality,
     "op6_secret_scan": op6_secret_scan,
