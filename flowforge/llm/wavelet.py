@@ -31,6 +31,8 @@ from flowforge.llm.tokens import encoder
 MAGIC = b"WVM1"
 BITS = 16
 BLOCK = 512
+#: Offsets of at most so many shards are broadcast (a few MB).
+MOST_OFFSETS = 100_000
 
 
 class WaveletMatrix:
@@ -214,6 +216,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
     (little-endian unsigned 32-bit), decoded from shards. Shard offsets are
     running sums: inside each part, then over the parts' totals."""
     sizes = shards.select("part", "shard", "n_ids")
+    few = sizes.count() <= MOST_OFFSETS
     inside = Window.partitionBy("part").orderBy("shard")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("_t"))
     parts = parts.select("part", (F.sum("_t").over(Window.orderBy("part")) - F.col("_t")).alias("_p"))
@@ -235,5 +238,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
 
     rows = shards.select("part", "shard", "data").mapInArrow(
         decode, "part int, shard bigint, doc_id bigint, _at bigint, n_tokens bigint, ids binary")
-    return rows.join(bases, ["part", "shard"]).select(
+    # two dozen bytes a shard: broadcast while their number is bounded, so that
+    # the decoded ids stay where they are
+    return rows.join(F.broadcast(bases) if few else bases, ["part", "shard"]).select(
         "doc_id", (F.col("_base") + F.col("_at")).alias("start"), "n_tokens", "ids")
