@@ -7,8 +7,9 @@ nodes is cut into blocks by hash, and every block of queries meets every block
 of nodes of its shard, so no shard needs one task. In each block a robust-pruned
 neighbour graph is built; the adjacency lists that a node got in its shards are
 united; then every node searches the graphs of its shards: greedily from the
-medoid, and on through every node found within range, until no neighbour of a
-node in range is left unseen. Each link found is verified in double precision.
+block's medoids and from what it knows of itself there, and on through every
+node found within range, until no neighbour of a node in range is left unseen.
+Each link found is verified in double precision.
 
 Recall is audited: a bounded set of queries is compared with all vectors of
 their labels by brute force. Below ``least_recall`` the search is repeated with
@@ -67,16 +68,26 @@ def robust_prune(x: np.ndarray, degree: int = DEGREE, pool: int = POOL, alpha: f
     return out
 
 
-def greedy_range(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, start: int, least: float,
+def medoids(x: np.ndarray, many: int = 8) -> np.ndarray:
+    """The node nearest to the mean, then nodes far from all taken so far."""
+    taken = [int(np.argmax(x @ x.mean(0)))]
+    near = x @ x[taken[0]]
+    while len(taken) < min(many, len(x)):
+        taken.append(int(np.argmin(near)))
+        near = np.maximum(near, x @ x[taken[-1]])
+    return np.unique(taken)
+
+
+def greedy_range(x: np.ndarray, lists: list[np.ndarray], queries: np.ndarray, starts: list[np.ndarray], least: float,
                  width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(query number, nodes within range) by best-first search of a block's
     graph: it goes on while an unexpanded node is among the ``width`` best seen
     or lies within reach of the threshold."""
     for i, q in enumerate(queries):
         seen = np.zeros(len(x), bool)
-        seen[start] = True
-        nodes, score = np.array([start]), x[[start]] @ q
-        fresh = np.ones(1, bool)
+        nodes = starts[i]
+        seen[nodes] = True
+        score, fresh = x[nodes] @ q, np.ones(len(nodes), bool)
         while True:
             bar = np.partition(score, -width)[-width] if len(score) > width else -2.0
             go = np.flatnonzero(fresh & ((score >= bar) | (score >= least - ROUTE)))
@@ -172,28 +183,31 @@ def _adjacency(shards: DataFrame) -> DataFrame:
 def _search(shards: DataFrame, adjacency: DataFrame, least: float, width: int) -> DataFrame:
     """Links a < b that the range searches found, verified."""
     rows = shards.join(adjacency, "node")
-    asks = rows.select("node", "x", F.lit(None).cast("array<bigint>").alias("near"), "shard", F.col("part").alias("ask"),
+    asks = rows.select("node", "x", "near", F.lit(False).alias("holds"), "shard", F.col("part").alias("ask"),
                        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    holds = rows.select("node", "x", "near", "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("ask"), "part")
+    holds = rows.select("node", "x", "near", F.lit(True).alias("holds"), "shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("ask"), "part")
 
     def find(df: pd.DataFrame) -> pd.DataFrame:
-        held, asked = df[df["near"].notna()].sort_values("node"), df[df["near"].isna()]
+        held, asked = df[df["holds"]].sort_values("node"), df[~df["holds"]]
         out_a, out_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if len(held) and len(asked):
             x, ids = np.stack(held["x"]), held["node"].to_numpy()
-            lists: list = []
-            for row in held["near"]:
+
+            def here(row: np.ndarray) -> np.ndarray:
                 at = np.minimum(np.searchsorted(ids, row), len(ids) - 1)
-                lists.append(at[ids[at] == row])
+                return at[ids[at] == row]
+
+            lists = [here(row) for row in held["near"]]
             # links of the graph lead both ways
             back: list[list] = [[] for _ in lists]
             for i, row in enumerate(lists):
                 for j in row:
                     back[j].append(i)
             lists = [np.unique(np.concatenate([row, np.array(b, np.int64)])) for row, b in zip(lists, back, strict=True)]
-            medoid = int(np.argmax(x @ x.mean(0)))
-            names, q = asked["node"].to_numpy(), np.stack(asked["x"])
-            for i, found in greedy_range(x, lists, q, medoid, least, width):
+            names, q, entries = asked["node"].to_numpy(), np.stack(asked["x"]), medoids(x)
+            starts = [np.unique(np.concatenate([entries, here(np.append(row, name))]))
+                      for row, name in zip(asked["near"], names, strict=True)]
+            for i, found in greedy_range(x, lists, q, starts, least, width):
                 other = ids[found[ids[found] != names[i]]]
                 out_a.append(np.minimum(other, names[i]))
                 out_b.append(np.maximum(other, names[i]))
