@@ -32,6 +32,7 @@ from flowforge.llm.common import (
 
 ROWS = 2  # hash rows of the sketch
 RANGES = 64  # cell ranges of a row, merged apart
+LEAST_CELLS = 1 << 12
 HELD = 1 << 23  # windows a task holds before it emits a part of its sketch
 
 
@@ -143,7 +144,7 @@ def repeated_windows(docs: DataFrame, width: int = 50, most_cells: int = 1 << 28
     bounded_batches(spark)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    cells = min(most_cells, max(1 << 16, 1 << (size // 4).bit_length()))
+    cells = max(LEAST_CELLS, min(most_cells, 1 << (size // 4).bit_length()))
     sketch = spark.sparkContext.broadcast(count_min(rows, width, cells))
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
                         ("at", pa.int32())])
