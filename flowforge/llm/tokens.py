@@ -45,11 +45,12 @@ class MemoEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.memo: dict[int, int] = {}
+        # sorted keys with their entries: those learnt lately and all others
+        self.levels = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
         self.pieces: dict[str, bytes] = {}
         self.flat = np.zeros(1 << 20, np.uint16)
         self.used = 0
-        self.offs: list[int] = []
+        self.offs = array("q")
         # entries 0 and 1: the end id (set per row) and a line break
         self.checks = np.zeros(2, np.uint64)
         self.end, self.line = 0, 1
@@ -58,7 +59,7 @@ class MemoEncoder:
         self._index()
 
     def _index(self) -> None:
-        offs = np.array(self.offs, np.int64)
+        offs = np.array(self.offs)
         self.table = (offs, np.diff(offs, append=self.used))
 
     def _append(self, ids: np.ndarray) -> None:
@@ -92,18 +93,39 @@ class MemoEncoder:
             return self._piece(lead + core) + (self._piece(tail) if tail else b"")
         return array("H", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
 
-    def _learn(self, chunks: list[str], keys: list[int], check: np.ndarray) -> None:
-        for c, key in zip(chunks, keys, strict=True):
+    def _known(self, keys: np.ndarray) -> np.ndarray:
+        """Entry of each key, -1 where it is new."""
+        index = np.full(len(keys), -1, np.int64)
+        for known, entry in self.levels:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                index[hit] = entry[at[hit]]
+        return index
+
+    def _learn(self, chunks: list[str], keys: np.ndarray, check: np.ndarray) -> np.ndarray:
+        entries = np.arange(len(self.offs), len(self.offs) + len(keys))
+        for c in chunks:
             self._append(np.frombuffer(self._ids(c), np.uint16))
-            self.memo[key] = len(self.offs) - 1
         self.checks = np.concatenate([self.checks, check])
         self._index()
+        (few, few_at), most = self.levels
+        level = self._merged((few, few_at), (keys, entries))
+        self.levels = [level, most] if len(level[0]) < 1 << 17 else [
+            (keys[:0], entries[:0]), self._merged(most, level)]
+        return entries
+
+    @staticmethod
+    def _merged(a: tuple, b: tuple) -> tuple:
+        keys, entries = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], entries[order]
 
     def encode(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of a string column, each row followed by
         ``end_id``, and the number of ids of each row."""
         parts = [self._slice(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], end_id)
-                 for a, b in row_slices(offs, 8 << 20)]
+                 for a, b in row_slices(offs, 6 << 20)]
         if not parts:
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
@@ -158,16 +180,14 @@ class MemoEncoder:
             lead, line = inner & (gap == 32), inner & (gap == 10)
             key = key ^ (lead * np.uint64(0x5851F42D4C957F2D))
         unique, at, back = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.memo) > self.limit:
+        if len(self.offs) > self.limit:
             self._clear()
-        get = self.memo.get
-        index = np.fromiter((get(k, -1) for k in unique.tolist()), np.int64, len(unique))
+        index = self._known(unique)
         new = np.flatnonzero(index < 0)
         if len(new):
             words = [(" " if self.keep_spaces and lead[i] else "") + data[starts[i]:ends[i]].tobytes().decode()
                      for i in at[new]]
-            index[new] = np.arange(len(self.offs), len(self.offs) + len(new))
-            self._learn(words, unique[new].tolist(), check[at[new]])
+            index[new] = self._learn(words, unique[new], check[at[new]])
         if (self.checks[index][back] != check).any():  # two words with one 64-bit key
             return self._plain(data, offs, end_id)
         broken = np.cumsum(line)
