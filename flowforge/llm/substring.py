@@ -4,9 +4,11 @@ Pass 1 counts every window of ``width`` words in a count-min sketch: each task
 counts its own windows and emits the sketch as sorted cells, the tasks' sketches
 are merged cell range by cell range, and one bit per cell says "two or more".
 Pass 2 keeps the windows whose every cell says so; counts are never too low, so
-no repeated window is lost. These windows alone are grouped exactly, by two
-independent 64-bit hashes of their words, and each group's smallest doc_id is
-joined back: a window is a repeat if its group starts in a smaller doc_id.
+no repeated window is lost. These windows alone are grouped exactly, by 96 bits of
+two independent hashes of their words: a window is a repeat if its group starts
+in a smaller doc_id. A task settles its own rows first: of the rows of a window
+only those of its smallest doc_id go into the shuffle, so that a passage in very
+many documents gives a row per task, not a row per document.
 
 The sketch grows with the text up to ``most_cells`` a row, a bound on what is
 broadcast (``most_cells`` / 8 bytes a row). Beyond it the filter lets more
@@ -20,11 +22,12 @@ fewer than ``width`` words are kept whole. Extra columns are carried along.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowforge.llm.common import (
@@ -146,47 +149,77 @@ def repeated_windows(docs: DataFrame, width: int = 50, most_cells: int = 1 << 28
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = max(LEAST_CELLS, min(most_cells, 1 << (size // 4).bit_length()))
     sketch = spark.sparkContext.broadcast(count_min(rows, width, cells))
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()),
-                        ("at", pa.int32())])
+    keyed = rows.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.hash("text"))
+
+    def estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        """Runs of candidate rows, sorted by window and doc_id: h1, h2, doc_id,
+        text_hash, at, and whether a smaller doc_id of the run has the window."""
+        bits, held, size = sketch.value, [], 0
+
+        def run() -> list[np.ndarray]:
+            cols = [np.concatenate(c) for c in zip(*held, strict=True)]
+            order = np.lexsort((cols[2], cols[1], cols[0]))
+            h1, h2, doc, text, at = (c[order] for c in cols)
+            new = np.ones(len(h1), bool)
+            new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+            least = doc[np.flatnonzero(new)][np.cumsum(new) - 1] if len(doc) else doc
+            return [h1, h2, doc, text, at, doc > least]
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = sketch.value
         for batch in batches:
-            ids, hashes = batch.column(0), batch.column(2).to_numpy()
+            ids, hashes = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for base, (h1, h2), row, at in text_windows(*string_bytes(batch.column(1)), width, 2):
                 keep = np.ones(len(h1), bool)
                 for r in range(ROWS):
                     cell = sketch_cell(h1, r, cells)
                     keep &= (bits[r][cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
                 row = row[keep] + base
-                yield pa.record_batch([pa.array(h1[keep].view(np.int64)), pa.array(h2[keep].view(np.int64)),
-                                       ids.take(pa.array(row)), pa.array(hashes[row]),
-                                       pa.array(at[keep].astype(np.int32))], schema=schema)
+                held.append((h1[keep].view(np.int64), (h2[keep] >> np.uint64(32)).astype(np.uint32).view(np.int32),
+                             ids[row], hashes[row], at[keep].astype(np.int32)))
+                size += len(row)
+                if size >= HELD // 4:
+                    yield run()
+                    held, size = [], 0
+        if size:
+            yield run()
+
+    def unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for *cols, settled in estimated(batches):
+            yield pa.record_batch([pa.array(c[~settled]) for c in cols], names=["h1", "h2", "doc_id", "text_hash", "at"])
+
+    def settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, doc, text, at, known in estimated(batches):
+            yield pa.record_batch([pa.array(c[known]) for c in (doc, text, at)], names=["doc_id", "text_hash", "at"])
 
-    estimated = rows.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")) \
-        .mapInArrow(candidates, "h1 bigint, h2 bigint, doc_id bigint, text_hash bigint, at int")
-    smallest = estimated.groupBy("h1", "h2").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")) \
-        .where("least < most").select("h1", "h2", "least")
-    return estimated.join(smallest, ["h1", "h2"]).where("doc_id > least") \
-        .groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("starts"))
+    least = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
+    found = keyed.mapInArrow(unsettled, "h1 bigint, h2 int, doc_id bigint, text_hash int, at int") \
+        .withColumn("least", least).where("doc_id > least").select("doc_id", "text_hash", "at")
+    own = keyed.mapInArrow(settled, "doc_id bigint, text_hash int, at int")
+    return found.union(own).groupBy("doc_id", "text_hash").agg(F.collect_set("at").alias("starts"))
 
 
 def remove_repeats(docs: DataFrame, width: int = 50, most_cells: int = 1 << 28) -> DataFrame:
     """``docs`` with ``kept_text`` (the words left, joined by one space),
     ``n_words`` and ``n_removed``: every word that a repeated window covers is
-    removed, judged on the input."""
-    cols = [F.col(f"`{c}`") for c in docs.columns if c not in ("kept_text", "n_words", "n_removed")]
+    removed, judged on the input. Texts cross the one shuffle compressed."""
+    names = [c for c in docs.columns if c not in ("text", "kept_text", "n_words", "n_removed")]
     repeats = repeated_windows(docs, width, most_cells).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "starts")
-    rows = docs.select(F.struct(*cols).alias("row"), F.col("doc_id").cast("long").alias("_id"),
-                       text_or_empty().alias("text")).withColumn("_hash", F.xxhash64("text"))
-    joined = rows.join(repeats, ["_id", "_hash"], "left").select("row", "text", "starts")
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), "starts")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.hash(text_or_empty()).alias("hash"), "text")
+    row_type = rows.schema["row"].dataType.simpleString()
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw = [None if not t.is_valid else t.as_buffer().to_pybytes() for t in batch.column(3)]
+            small = [None if t is None else zlib.compress(t, 1) for t in raw]
+            yield pa.record_batch([*batch.columns[:3], pa.array(small, pa.binary())], names=["row", "id", "hash", "z"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, starts in zip(batch.column(1), batch.column(2), strict=True):
-                words = text.as_buffer().to_pybytes().split()
+            texts, n_words, n_removed, kept = [], [], [], []
+            for small, starts in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                text = None if small is None else zlib.decompress(small)
+                words = (text or b"").split()
                 n_words.append(len(words))
                 if starts.is_valid:
                     begin = starts.values.to_numpy()
@@ -195,10 +228,13 @@ def remove_repeats(docs: DataFrame, width: int = 50, most_cells: int = 1 << 28)
                     words = [words[i] for i in np.flatnonzero(np.cumsum(change)[:-1] == 0)]
                 n_removed.append(n_words[-1] - len(words))
                 kept.append(b" ".join(words).decode())
-            yield pa.record_batch([batch.column(0), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()),
-                                   pa.array(n_removed, pa.int64())],
-                                  names=["row", "kept_text", "n_words", "n_removed"])
-
-    row_type = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(cut, f"row {row_type}, kept_text string, n_words bigint, n_removed bigint") \
-        .select("row.*", "kept_text", "n_words", "n_removed")
+                texts.append(None if text is None else text.decode())
+            yield pa.record_batch([batch.column(0), pa.array(texts, pa.string()), pa.array(kept, pa.string()),
+                                   pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())],
+                                  names=["row", "text", "kept_text", "n_words", "n_removed"])
+
+    joined = rows.mapInArrow(squeeze, f"row {row_type}, id bigint, hash int, z binary") \
+        .join(repeats, ["id", "hash"], "left").select("row", "z", "starts")
+    out = joined.mapInArrow(cut, f"row {row_type}, text string, kept_text string, n_words bigint, n_removed bigint")
+    own = [F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c in names or c == "text"]
+    return out.select(*own, "kept_text", "n_words", "n_removed")
