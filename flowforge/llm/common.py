@@ -88,7 +88,7 @@ def string_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes and the row offsets of a null-free string column."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    kind = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    kind = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
     _, offs, data = col.buffers()
     if len(col) == 0 or data is None:
         return np.zeros(0, np.uint8), np.zeros(len(col) + 1, np.int64)

@@ -22,6 +22,7 @@ null and they are kept. Extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +39,8 @@ VALUES = 64
 TREES = 16
 LEAST = 4  # values that candidates share at least
 DEEP = 12  # values by which a tree is sorted
+#: Ids of at most so many candidates are broadcast (16 bytes each).
+MOST_ENDS = 500_000
 _RNG = np.random.default_rng(20_11)
 _TIMES = _RNG.integers(1 << 62, size=VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _XOR = _RNG.integers(1 << 63, size=VALUES, dtype=np.uint64)
@@ -157,15 +160,25 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     """The pairs whose full sets reach the threshold: a, b."""
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("t")) \
         .withColumn("h", F.xxhash64("t"))
-    ends = pairs.select(F.col("a").alias("id"), F.col("tha").alias("h")).union(pairs.select("b", "thb")).distinct()
-    texts = stored(texts.join(ends, ["id", "h"]).groupBy("id", "h").agg(F.first("t").alias("t")), "texts")
+    ends = stored(pairs.select(F.col("a").alias("id"), F.col("tha").alias("h")).union(pairs.select("b", "thb")).distinct(),
+                  "ends")
+    if ends.count() <= MOST_ENDS:
+        ends = F.broadcast(ends)
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = [zlib.compress(t.as_buffer().to_pybytes(), 1) for t in batch.column(2)]
+            yield pa.record_batch([*batch.columns[:2], pa.array(z, pa.binary())], names=["id", "h", "t"])
+
+    texts = texts.join(ends, ["id", "h"]).select("id", "h", "t").mapInArrow(squeeze, "id bigint, h bigint, t binary")
+    texts = stored(texts.groupBy("id", "h").agg(F.min("t").alias("t")), "texts")
     one = texts.select(F.col("id").alias("a"), F.col("h").alias("tha"), F.col("t").alias("ta"))
     two = texts.select(F.col("id").alias("b"), F.col("h").alias("thb"), F.col("t").alias("tb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left = shingle_sets(*string_bytes(batch.column(2)), words)
-            right = shingle_sets(*string_bytes(batch.column(3)), words)
+            left, right = (shingle_sets(*string_bytes(pa.array([zlib.decompress(z.as_buffer()) for z in batch.column(i)],
+                                                               pa.binary())), words) for i in (2, 3))
             good = []
             for x, y in zip(left, right, strict=True):
                 both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
@@ -176,7 +189,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         .mapInArrow(check, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: int = 16) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: int = 2) -> DataFrame:
     """doc_id, th (hash of its text), n_shingles, component_id and kept for
     every row: documents with 100 * intersection >= percent * union are linked."""
     sets = stored(document_sets(docs, words), "sets")
@@ -188,8 +201,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: i
     trees = forest(nodes)
     regions = trees.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     dense = regions.agg(F.max("size")).first()[0] or 0
-    links = stored(confirmed(neighbours(trees.withColumn("c", F.monotonically_increasing_id()), 1, reach, percent),
-                             docs, words, percent), "links")
+    seen = stored(neighbours(trees.withColumn("c", F.monotonically_increasing_id()), 1, reach, percent), "pairs")
+    links = stored(confirmed(seen, docs, words, percent), "links")
     parts = components(links)
     near, far = reach + 1, reach * 8
     while near < dense:
@@ -197,11 +210,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: i
         marked = trees.join(member, F.expr("node = _n"), "left") \
             .withColumn("c", F.coalesce("component", "node")).drop("_n", "component")
         wide = marked.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("x"),
-                                                 F.max("c").alias("y")).where(f"size > {near} - 1 and x <> y")
+                                                 F.max("c").alias("y")).where(f"size > {near} and x <> y")
+        wide = stored(wide, "wide")
+        if wide.isEmpty():
+            break
         again = marked.join(wide.select("tree", "key"), ["tree", "key"])
-        more = stored(confirmed(neighbours(again, near, far, percent), docs, words, percent), "links")
-        links = links.union(more)
-        parts = components(links)
+        new = stored(neighbours(again, near, far, percent).join(seen, ["a", "tha", "b", "thb"], "left_anti"), "pairs")
+        more = stored(confirmed(new, docs, words, percent), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            parts = components(links)
+        seen = seen.union(new)
         near, far = far + 1, far * 8
     member = parts.select(F.col("node").alias("_n"), "component")
     of_nodes = nodes.join(member, F.expr("node = _n"), "left").select(
