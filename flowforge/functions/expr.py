@@ -63,3 +63,12 @@ def stack_columns(df: DataFrame, keep: list[str], cols: list[str], name_col: str
     """Unpivot ``cols`` into (name_col, value_col) rows — narrow, no shuffle."""
     return df.unpivot(keep, [F.col(f"`{c}`").cast(value_type).alias(c) for c in cols],
                       name_col, value_col) if cols else df.select(*keep)
+
+
+def bounded_lookup(table: DataFrame, most: int = 10_000) -> DataFrame:
+    """A lookup table as a broadcast if it has at most ``most`` rows (checked),
+    else the table itself, which Spark then joins by shuffle."""
+    rows = table.limit(most + 1).collect()
+    if len(rows) > most:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))

@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowforge.session import cut_lineage
+from flowforge.functions.expr import bounded_lookup
+
+ROWS_A_BUCKET = 50_000
 
 
 def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs: list[float],
-                    n_buckets: int = 512, accuracy: int = 10000) -> DataFrame:
+                    n_buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
     """(group_cols..., prob, q): exact linear-interpolated quantiles of
     ``value_col`` per group; null/NaN values are ignored. ``group_cols`` must
     be non-empty (long-form inputs carry a ``feature`` column)."""
@@ -32,14 +34,19 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str, probs:
         raise ValueError("exact_quantiles needs at least one group column")
     g = list(group_cols)
     v = F.col(value_col).cast("double")
-    # the plan below reads its input in several branches: materialise it once
-    # (reliable checkpoint) instead of re-running the upstream lineage per branch
-    d = cut_lineage(df.where(v.isNotNull() & ~F.isnan(v)).select(*g, v.alias("_v")))
+    d = df.where(v.isNotNull() & ~F.isnan(v)).select(*g, v.alias("_v"))
+    if n_buckets is None:  # a bucket is the work of one task
+        most = d.groupBy(*g).agg(F.count(F.lit(1)).alias("_c")).agg(F.max("_c")).first()[0] or 0
+        n_buckets = min(4096, max(8, -(-most // ROWS_A_BUCKET)))
     splits = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = d.groupBy(*g).agg(F.percentile_approx("_v", splits, accuracy).alias("_bounds"))
-    db = (d.join(bounds, g)
-          .withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < F.col("_v"))))
-          .drop("_bounds"))
+    step = max(2, round(n_buckets ** 0.5))
+    bounds = bounded_lookup(d.groupBy(*g).agg(F.percentile_approx("_v", splits, accuracy).alias("_bounds"))
+                            .withColumn("_coarse", F.expr(f"filter(_bounds, (b, i) -> i % {step} = {step - 1})")))
+    # boundaries below the value: whole steps first, then those inside one step
+    whole = F.size(F.filter("_coarse", lambda b: b < F.col("_v"))) * step
+    rest = F.size(F.filter(F.slice("_bounds", F.col("_k") + 1, F.lit(step)), lambda b: b < F.col("_v")))
+    db = (d.join(bounds, g).withColumn("_k", whole).withColumn("_bk", F.col("_k") + rest)
+          .drop("_bounds", "_coarse", "_k"))
     counts = db.groupBy(*g, "_bk").agg(F.count(F.lit(1)).alias("_nb"))
     w_run = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding,
                                                               Window.currentRow)

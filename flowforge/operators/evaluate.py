@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowforge.functions.expr import safe_div
-from flowforge.functions.sequence import bucketed_cumsum, unit_bucket
+from flowforge.functions.expr import bounded_lookup, safe_div
+from flowforge.functions.sequence import bucketed_cumsum, quantile_bucket
 
 
 def confusion_counts(preds: DataFrame, true_col: str = "y_true", pred_col: str = "y_pred",
@@ -130,11 +130,12 @@ def roc_auc_binary(preds: DataFrame, label_col: str = "y_true", score_col: str =
                    group: list[str] | None = None, positive=1) -> DataFrame:
     """Exact AUC with mid-ranks for ties: sum over distinct scores of
     npos * (negatives below + nneg / 2), over P * N. Null when a group has
-    only one class. Scores are probabilities (bucketed on [0, 1])."""
+    only one class. Buckets follow the quantiles of the distinct scores, so
+    scores that pile up at 0 and 1 are spread as well."""
     g = group or []
     lab = (F.col(label_col) == F.lit(positive))
     s = _pos_neg_by_score(preds, lab, score_col, g)
-    c = bucketed_cumsum(s, g, "score", unit_bucket("score"), ["nneg"])
+    c = bucketed_cumsum(s, g, "score", quantile_bucket(s, "score"), ["nneg"])
     contrib = F.col("npos") * (F.col("cum_nneg") - F.col("nneg") + F.col("nneg") / 2.0)
     return c.groupBy(*g).agg(
         F.try_divide(F.sum(contrib), (F.sum("npos") * F.sum("nneg")).cast("double")).alias("roc_auc"))
@@ -160,11 +161,13 @@ def roc_curve(preds: DataFrame, label_col: str = "y_true", score_col: str = "sco
     g = group or []
     lab = (F.col(label_col) == F.lit(positive))
     s = _pos_neg_by_score(preds, lab, score_col, g)
-    c = bucketed_cumsum(s, g, "score", unit_bucket("score"), ["npos", "nneg"], desc=True)
-    w = Window.partitionBy(*g)
+    c = bucketed_cumsum(s, g, "score", quantile_bucket(s, "score"), ["npos", "nneg"], desc=True)
+    # totals by partial aggregation (one row per group), joined back
+    total = s.groupBy(*g).agg(F.sum("npos").alias("_p"), F.sum("nneg").alias("_n"))
+    c = c.join(bounded_lookup(total), g) if g else c.join(F.broadcast(total))
     return c.select(*g, F.col("score").alias("threshold"),
-                    F.try_divide(F.col("cum_nneg").cast("double"), F.sum("nneg").over(w)).alias("fpr"),
-                    F.try_divide(F.col("cum_npos").cast("double"), F.sum("npos").over(w)).alias("tpr"))
+                    F.try_divide(F.col("cum_nneg").cast("double"), F.col("_n")).alias("fpr"),
+                    F.try_divide(F.col("cum_npos").cast("double"), F.col("_p")).alias("tpr"))
 
 
 def trapezoid_auc(curve: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -25,10 +25,10 @@ def explain_sample(test: DataFrame, n: int = 500, key: str = "flow_id", seed: in
     return sample_rows(test, n, key, seed)
 
 
-def background_means(train: DataFrame, cols: list[str], n: int = 100, key: str = "flow_id",
+def background_means(rows: DataFrame, cols: list[str], n: int | None = None, key: str = "flow_id",
                      seed: int = 42) -> DataFrame:
-    """(feature, mean) over an n-row hash-ordered background sample."""
-    bg = sample_rows(train, n, key, seed)
+    """(feature, mean) over all background rows, or over ``n`` hash-ordered ones."""
+    bg = rows if n is None else sample_rows(rows, n, key, seed)
     one = bg.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
     return one.unpivot([], cols, "feature", "mean")
 

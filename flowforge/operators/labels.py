@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowforge.functions.expr import bounded_lookup
+
 BENIGN = "BENIGN"
 
 
@@ -43,7 +45,7 @@ def label_multi(df: DataFrame, label_col: str = "Label", out: str = "Label_Multi
         m = code_table(df, label_col, out).select(label_col, out)
     else:  # persisted encoder: (code, label, count)
         m = mapping.select(F.col("label").alias(label_col), F.col("code").alias(out))
-    return df.join(m, on=label_col, how="left")
+    return df.join(bounded_lookup(m), on=label_col, how="left")
 
 
 def encode_labels(df: DataFrame, label_col: str = "Label") -> DataFrame:
@@ -61,7 +63,7 @@ def label_mapping(df: DataFrame, label_col: str = "Label", code_col: str = "Labe
 def decode_label(df: DataFrame, mapping: DataFrame, code_col: str, out: str = "label_name") -> DataFrame:
     """code -> class name through the (label-count-bounded) mapping table."""
     m = mapping.select(F.col("code").alias(code_col), F.col("label").alias(out))
-    return df.join(m, on=code_col, how="left")
+    return df.join(bounded_lookup(m), on=code_col, how="left")
 
 
 def class_distribution(df: DataFrame, label_col: str = "Label") -> DataFrame:
@@ -82,6 +84,7 @@ def binary_distribution(df: DataFrame, binary_col: str = "Label_Binary") -> Data
         "count", (F.col("count") / total).alias("share"))
 
 
-def benign_code(mapping: DataFrame) -> DataFrame:
-    """One-row table holding BENIGN's code (T-7: never assume 0)."""
-    return mapping.where(F.col("label") == BENIGN).select(F.col("code").alias("benign_code"))
+def benign_code(mapping: DataFrame) -> int | None:
+    """BENIGN's code, looked up (T-7: never assume 0); None without BENIGN."""
+    row = mapping.where(F.col("label") == BENIGN).select("code").first()
+    return row["code"] if row else None

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowforge.functions.expr import hash_order, is_numeric
+from flowforge.functions.expr import bounded_lookup, hash_order, is_numeric
 from flowforge.functions.quantiles import exact_quantiles, quantile_wide
 from flowforge.functions.sequence import bucketed_rank, md5_bucket
-from flowforge.session import cut_lineage
+from flowforge.session import materialise
 
 LABEL_COLS = ("Label", "Label_Binary", "Label_Multi")
 # The box-plot features searched for by name (case-insensitive).
@@ -68,8 +68,9 @@ def dataset_overview(df: DataFrame) -> DataFrame:
         *[F.lit(v).cast("int").alias(f"n_{k}") for k, v in fam.items()])
 
 
-def describe_numeric(df: DataFrame, cols: list[str] | None = None, first: int = 10) -> DataFrame:
-    """mean, std (ddof=1), min, max of the first ``first`` numeric columns."""
+def describe_numeric(df: DataFrame, cols: list[str] | None = None, first: int | None = None) -> DataFrame:
+    """mean, std (ddof=1), min, max of all numeric columns (the first ``first``,
+    if given)."""
     cols = (cols or feature_columns(df, exclude=()))[:first]
     return per_feature_stats(df, cols, {
         "mean": F.avg, "std": F.stddev_samp,
@@ -193,13 +194,13 @@ def sample_rows(df: DataFrame, n: int, key: str = "flow_id", seed: int = 42) ->
 
 def box_stats_by_class(sample: DataFrame, cols: list[str], class_col: str = "Label_Binary",
                        upper: float = 0.99) -> DataFrame:
-    """Upper-clip each feature at its p99 over the whole sample, then per class
+    """Upper-clip each feature at its p99 over all rows of ``sample``, then per class
     Q1 / median / Q3, 1.5 IQR whiskers (furthest data point inside) and the
     outlier count."""
-    long = cut_lineage(to_long(sample, cols, [class_col]))  # the sample is bounded (n rows)
+    long = to_long(materialise(sample.select(class_col, *cols), "box"), cols, [class_col])
     p99 = quantile_wide(exact_quantiles(long, ["feature"], "value", [upper]), ["feature"],
                         {upper: "_cap"})
-    clipped = long.join(p99, "feature").withColumn(
+    clipped = long.join(bounded_lookup(p99), "feature").withColumn(
         "value", F.least(F.col("value"), F.col("_cap"))).drop("_cap")
     qs = quantile_wide(exact_quantiles(clipped, ["feature", class_col], "value", [0.25, 0.5, 0.75]),
                        ["feature", class_col], {0.25: "q1", 0.5: "median", 0.75: "q3"})
@@ -207,7 +208,7 @@ def box_stats_by_class(sample: DataFrame, cols: list[str], class_col: str = "Lab
     lo_f = F.col("q1") - 1.5 * F.col("_iqr")
     hi_f = F.col("q3") + 1.5 * F.col("_iqr")
     v = F.col("value")
-    j = clipped.join(qs, ["feature", class_col])
+    j = clipped.join(bounded_lookup(qs), ["feature", class_col])
     out = j.groupBy("feature", class_col, "q1", "median", "q3").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_high"),

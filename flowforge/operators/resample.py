@@ -60,7 +60,7 @@ def _knn_vectors(vec: DataFrame, cols: list[str], label_col: str, k: int, g: int
     dims = sorted(cols, key=lambda c: -(var[c] or 0.0))[:g]
     st = vec.groupBy(label_col).agg(
         F.count(F.lit(1)).alias("_nd"), F.sum("_m").alias("_n"),
-        F.greatest(*[F.max(d) - F.min(d) for d in dims]).alias("_span"))
+        F.array_max(F.array(*[F.max(d) - F.min(d) for d in dims])).alias("_span"))
     st = st.withColumn("_w0", F.when(F.col("_span") > 0, F.col("_span") / F.ceil(
         F.pow(F.col("_nd").cast("double"), 1.0 / len(dims)))).otherwise(F.lit(1.0)))
     pts = cut_lineage(vec.join(st, label_col)
@@ -111,7 +111,9 @@ def _knn_vectors(vec: DataFrame, cols: list[str], label_col: str, k: int, g: int
         done = done.unionByName(got)
         todo = cut_lineage(todo.join(got.select("_v").distinct(), "_v", "left_anti"))
     else:
-        r = max_rounds
+        if not todo.isEmpty():
+            raise RuntimeError(f"neighbours of some rows are not certified after {max_rounds} rounds")
+        r = max_rounds - 1
     log.info("knn certified after %d rounds", r + 1)
     return done
 

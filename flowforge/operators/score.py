@@ -77,11 +77,11 @@ def score_preview(scored: DataFrame, n: int = 500, key: str = "flow_id") -> Data
     return scored.orderBy(key).limit(n).select(key, "Status", "Predicted", "Confidence")
 
 
-def feature_defaults(scaled_train: DataFrame, features: list[str], n: int = 100,
+def feature_defaults(scaled_train: DataFrame, features: list[str], n: int | None = None,
                      key: str = "flow_id") -> DataFrame:
-    """(feature, default): median of the first ``n`` training rows; 0.0 for
-    every feature when there is no training data."""
-    first = scaled_train.orderBy(key).limit(n)
+    """(feature, default): median of the training rows (of the first ``n`` by
+    key, if given); 0.0 for every feature when there is no training data."""
+    first = scaled_train if n is None else scaled_train.orderBy(key).limit(n)
     long = first.unpivot([key], [F.col(c).cast("double").alias(c) for c in features], "feature", "value")
     med = quantile_wide(exact_quantiles(long, ["feature"], "value", [0.5]), ["feature"], {0.5: "default"})
     spark = scaled_train.sparkSession
@@ -116,7 +116,9 @@ def top_class_probabilities(proba_long: DataFrame, names: DataFrame, k: int = 5,
 
 
 def detect_attacks(scored: DataFrame, pred_col: str = "Predicted") -> DataFrame:
-    return scored.where(F.col(pred_col) != BENIGN)
+    """All rows but those predicted benign; a class that cannot be decoded
+    counts as an attack, as in ``score_summary``."""
+    return scored.where(~F.col(pred_col).eqNullSafe(BENIGN))
 
 
 def severity_table(spark: SparkSession) -> DataFrame:
@@ -175,8 +177,8 @@ def alerts_by_severity(alerts: DataFrame) -> DataFrame:
 
 
 def alert_feed(alerts: DataFrame, n: int = 500) -> DataFrame:
-    """First ``n`` alerts by id (a top-n, not a full sort)."""
-    return alerts.orderBy("alert_id").limit(n).select(
+    """First ``n`` alerts by the number in their id (a top-n, not a full sort)."""
+    return alerts.orderBy(F.expr("cast(substring(alert_id, 5) as bigint)")).limit(n).select(
         "alert_id", "timestamp", "attack_type", "confidence_pct", "severity")
 
 

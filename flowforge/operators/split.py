@@ -10,6 +10,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowforge.functions.expr import bounded_lookup
 from flowforge.operators.features import class_quota_rank
 from flowforge.operators.labels import BENIGN
 
@@ -48,7 +49,18 @@ def balanced_class_weights(train: DataFrame, label_col: str = "Label_Multi") ->
 
 def with_class_weights(df: DataFrame, weights: DataFrame, label_col: str = "Label_Multi",
                        out: str = "weight") -> DataFrame:
-    return df.join(weights.withColumnRenamed("weight", out), label_col, "left")
+    return df.join(bounded_lookup(weights.withColumnRenamed("weight", out)), label_col, "left")
+
+
+def with_task_weights(df: DataFrame, train: DataFrame) -> DataFrame:
+    """``weight`` for the multi-class task and ``weight_binary`` for the binary
+    one: each task's weights balance the labels it is fitted on."""
+    d = with_class_weights(df, balanced_class_weights(train, "Label_Multi"), "Label_Multi", "weight")
+    return with_class_weights(d, balanced_class_weights(train, "Label_Binary"), "Label_Binary", "weight_binary")
+
+
+def weight_column(task: str) -> str:
+    return "weight_binary" if task == "binary" else "weight"
 
 
 def fit_standard_scaler(train: DataFrame, cols: list[str]) -> DataFrame:
@@ -88,7 +100,7 @@ def binary_from_multi(df: DataFrame, mapping: DataFrame, multi_col: str = "Label
     """Label_Multi != code of BENIGN (looked up, not assumed 0 — T-7)."""
     codes = mapping.select(F.col("code").alias(multi_col),
                            (F.col("label") != F.lit(BENIGN)).cast("int").alias(out))
-    return df.drop(out).join(codes, multi_col, "left")
+    return df.drop(out).join(bounded_lookup(codes), multi_col, "left")
 
 
 def choose_training_set(original: DataFrame, resampled: DataFrame | None) -> DataFrame:

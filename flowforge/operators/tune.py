@@ -22,13 +22,13 @@ from flowforge.functions.expr import hash_order
 from flowforge.operators import evaluate as EV
 from flowforge.operators import models as M
 from flowforge.operators.features import class_quota_rank
+from flowforge.operators.split import weight_column
 
 # The reference's search grids, by its parameter names.
 PARAM_GRIDS = {
     "RandomForest": {
         "n_estimators": [100, 200, 300, 500],
         "max_depth": [10, 20, 30, None],
-        "min_samples_split": [2, 5, 10],
         "min_samples_leaf": [1, 2, 4],
         "max_features": ["sqrt", "log2"],
     },
@@ -42,18 +42,24 @@ PARAM_GRIDS = {
     },
     "DecisionTree": {
         "max_depth": [10, 15, 20, 25, 30, None],
-        "min_samples_split": [2, 5, 10, 20],
         "min_samples_leaf": [1, 2, 4, 8],
         "criterion": ["gini", "entropy"],
     },
     "LogisticRegression": {
         "C": [0.01, 0.1, 1, 10, 100],
         "penalty": ["l1", "l2"],
-        "solver": ["liblinear", "saga"],
     },
 }
-# axes without a Spark ML counterpart: kept in the grid, ignored by the fit
-NO_COUNTERPART = {"min_samples_split", "solver"}
+# The grids leave out the two axes without a Spark ML counterpart (split size,
+# solver): draws that differ in them alone would repeat one fit.
+
+# Settings of an untuned model (library defaults; None: unlimited).
+UNTUNED = {
+    "RandomForest": {"n_estimators": 100, "max_depth": None, "max_features": "sqrt"},
+    "BoostedTrees": {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.3},
+    "DecisionTree": {"max_depth": None},
+    "LogisticRegression": {"C": 1.0},
+}
 
 
 def param_space(spark: SparkSession, family: str) -> DataFrame:
@@ -77,8 +83,6 @@ def to_spark_params(family: str, p: dict) -> dict:
     """Reference parameter names/values -> Spark ML estimator params."""
     out = {}
     for k, v in p.items():
-        if k in NO_COUNTERPART:
-            continue
         if k == "n_estimators":
             out["numTrees" if family == "RandomForest" else "maxIter"] = int(v)
         elif k == "max_depth":
@@ -129,7 +133,7 @@ def cross_validate(family: str, task: str, data: DataFrame, label_col: str, clas
     for f in range(k):
         tr = data.where(F.col("fold") != f)
         va = data.where(F.col("fold") == f)
-        m = M.fit_model(family, task, tr, label_col, classes, tr.count(), "weight",
+        m = M.fit_model(family, task, tr, label_col, classes, tr.count(), weight_column(task),
                         to_spark_params(family, params))
         scores.append(weighted_f1(m, va, label_col))
     return sum(scores) / len(scores)
@@ -139,7 +143,8 @@ def untuned_baseline(family: str, task: str, tune: DataFrame, test: DataFrame, c
     """Default parameters (balanced weights except boosted trees) fit on the
     tuning rows; returns (model, test weighted F1)."""
     label_col = "Label_Binary" if task == "binary" else "Label_Multi"
-    m = M.fit_model(family, task, tune, label_col, classes, tune.count(), "weight")
+    m = M.fit_model(family, task, tune, label_col, classes, tune.count(), weight_column(task),
+                    to_spark_params(family, UNTUNED[family]))
     return m, weighted_f1(m, test, label_col)
 
 
@@ -148,7 +153,7 @@ def refit_best(family: str, task: str, train: DataFrame, test: DataFrame, classe
     """Refit the chosen reference-named parameters on the full train split;
     returns (model, test weighted F1)."""
     label_col = "Label_Binary" if task == "binary" else "Label_Multi"
-    m = M.fit_model(family, task, train, label_col, classes, train.count(), "weight",
+    m = M.fit_model(family, task, train, label_col, classes, train.count(), weight_column(task),
                     to_spark_params(family, best))
     return m, weighted_f1(m, test, label_col)
 

@@ -164,3 +164,4 @@ from flowforge.plans import q_explain  # noqa: E402,F401
 from flowforge.plans import q_stream  # noqa: E402,F401
 from flowforge.plans import q_tune  # noqa: E402,F401
 from flowforge.plans import q_resample  # noqa: E402,F401
+from flowforge.plans import q_io  # noqa: E402,F401

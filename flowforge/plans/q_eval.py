@@ -117,13 +117,23 @@ def q_binary_from_multi(spark, sf):
     return SP.binary_from_multi(c.select("flow_id", "Label_Multi"), L.label_mapping(c.select("Label")))
 
 
-@register("split_xy")
+@register("split_xy", S.sql_split() + "\nUNION ALL ".join(
+    f"SELECT flow_id, split, Label_Multi, Label_Binary, {i} AS pos, CAST({c} AS DOUBLE) AS value FROM spl"
+    for i, c in enumerate(S.FINAL_FEATURES)))
 def q_split_xy(spark, sf):
-    """Feature vectors + labels (rows-only: vector column)."""
+    """Feature vectors + labels, one row per vector entry."""
     d, cols = S.split_dataset(spark, sf)
     from pyspark.ml.functions import vector_to_array
     return SP.split_xy(d, cols).select("flow_id", "split", "Label_Multi", "Label_Binary",
-                                       F.size(vector_to_array("features")).alias("n_features"))
+                                       F.posexplode(vector_to_array("features")).alias("pos", "value"))
+
+
+@register("choose_training_set_resampled", S.sql_split() + "SELECT flow_id, Label_Multi FROM spl WHERE split = 'val'")
+def q_choose_training_set_resampled(spark, sf):
+    """A resampled set is given (the validation rows stand in for it): it is chosen."""
+    d, _ = S.split_dataset(spark, sf)
+    return SP.choose_training_set(d.where(F.col("split") == "train"), d.where(F.col("split") == "val")) \
+        .select("flow_id", "Label_Multi")
 
 
 @register("choose_training_set", S.sql_split() + "SELECT flow_id, Label_Multi FROM spl WHERE split = 'train'")

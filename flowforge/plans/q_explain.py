@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowforge.functions.expr import hash_order
 from flowforge.operators import explain as X
+from flowforge.operators import labels as L
 from flowforge.operators import models as M
 from flowforge.plans import fixtures as FX
 from flowforge.plans import stages as S
@@ -22,9 +23,9 @@ LIN_CTES = [
     S.SQL_FINAL, S.SQL_SPLIT,
     "linear_coef AS (SELECT * FROM (VALUES " + ", ".join(
         f"({c}, '{f}', CAST({v} AS DOUBLE))" for c, f, v in LINEAR_COEF) + ") AS v(class_id, feature, coef))",
-    "ex AS (SELECT * FROM spl WHERE split = 'test' ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id LIMIT 500)",
-    "bg AS (SELECT * FROM spl WHERE split = 'train' ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id LIMIT 100)",
-    "bgm AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS m FROM bg" for c in LIN_FEATS) + ")",
+    "ex AS (SELECT * FROM spl WHERE split = 'test')",
+    "smp AS (SELECT * FROM ex ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id LIMIT 500)",
+    "bgm AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS m FROM ex" for c in LIN_FEATS) + ")",
     "exl AS (" + " UNION ALL ".join(f"SELECT flow_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ex" for c in LIN_FEATS) + ")",
     """la AS (SELECT e.flow_id, c.class_id, e.feature, e.value, c.coef * (e.value - b.m) AS attribution
   FROM exl e JOIN linear_coef c ON c.feature = e.feature JOIN bgm b ON b.feature = e.feature)""",
@@ -39,12 +40,12 @@ def linear_coef(spark):
 
 def _lin(spark, sf):
     d, _ = S.split_dataset(spark, sf)
-    ex = X.explain_sample(d.where(F.col("split") == "test"), 500)
-    bgm = X.background_means(d.where(F.col("split") == "train"), LIN_FEATS, 100)
+    ex = d.where(F.col("split") == "test")
+    bgm = X.background_means(ex, LIN_FEATS)
     return d, ex, X.linear_attribution(ex, linear_coef(spark), bgm)
 
 
-@register("explain_sample", SQL_LIN + "SELECT flow_id, Label_Multi FROM ex")
+@register("explain_sample", SQL_LIN + "SELECT flow_id, Label_Multi FROM smp")
 def q_explain_sample(spark, sf):
     d, _ = S.split_dataset(spark, sf)
     return X.explain_sample(d.where(F.col("split") == "test"), 500).select("flow_id", "Label_Multi")
@@ -76,7 +77,7 @@ def q_dependence_pairs(spark, sf):
 @register("local_explanations", FX.with_views(["preds"], *S.clean_ctes(), *LIN_CTES, """ord AS (
   SELECT flow_id, md5(CAST(flow_id AS VARCHAR) || '|42') AS o FROM ex)""", """ok AS (SELECT p.flow_id, p.y_true, o.o
   FROM preds p JOIN ord o ON o.flow_id = p.flow_id
-  WHERE p.y_true = p.y_pred AND p.y_true <> 0 AND p.y_true IN (SELECT class_id FROM la))""",
+  WHERE p.y_true = p.y_pred AND p.y_true <> (SELECT CAST(min(Label_Multi) AS INT) FROM cleaned WHERE Label = 'BENIGN') AND p.y_true IN (SELECT class_id FROM la))""",
     "fst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY y_true ORDER BY o, flow_id) AS r FROM ok) t WHERE r = 1)",
     "fc AS (SELECT * FROM (SELECT *, dense_rank() OVER (ORDER BY y_true) AS c FROM fst) t WHERE c <= 3)",
     "lr AS (SELECT la.* FROM la JOIN fc ON fc.flow_id = la.flow_id AND fc.y_true = la.class_id)") +
@@ -87,7 +88,8 @@ def q_local_explanations(spark, sf):
     d, ex, a = _lin(spark, sf)
     preds = FX.preds(spark, sf).select("flow_id", "y_true", "y_pred")
     order = ex.select("flow_id", hash_order("flow_id", 42).alias("ord"))
-    return X.local_explanations(a, preds, order, benign_code=0).withColumn("rank", F.col("rank").cast("int"))
+    benign = L.benign_code(L.label_mapping(S.cleaned(spark, sf).select("Label")))
+    return X.local_explanations(a, preds, order, benign_code=benign).withColumn("rank", F.col("rank").cast("int"))
 
 
 @register("shapley_attribution")

@@ -16,7 +16,7 @@ POS = {c: i for i, c in enumerate(FEAT)}
 
 def _u(template: str, cols: list[str]) -> str:
     """UNION ALL of ``template`` formatted per feature (c = name, i = pos)."""
-    return "\nUNION ALL ".join(template.format(c=c, i=POS[c]) for c in cols)
+    return "\nUNION ALL ".join(template.format(c=c, i=POS.get(c, len(POS) + ("Label_Binary", "Label_Multi").index(c) if c not in POS else 0)) for c in cols)
 
 
 def _corr_expr(a: str, b: str) -> str:
@@ -44,7 +44,7 @@ def q_dataset_overview(spark, sf):
     return P.dataset_overview(cleaned(spark, sf))
 
 
-_DESC = FEAT[:10]
+_DESC = [*FEAT, "Label_Binary", "Label_Multi"]
 
 
 @register("describe_numeric", S.sql_cleaned() + _u(
@@ -64,9 +64,9 @@ def q_correlation_matrix(spark, sf):
   SELECT feature_i, avg(abs(r)) AS mean_abs_r FROM cm_long GROUP BY feature_i),
 top AS (SELECT feature_i, CAST(row_number() OVER (ORDER BY mean_abs_r DESC NULLS LAST, feature_i) AS INT) AS rank_i FROM sc)""")
           + """SELECT m.feature_i, m.feature_j, m.r, t.rank_i FROM cm_long m JOIN top t ON m.feature_i = t.feature_i
-  WHERE t.rank_i <= 30 AND m.feature_j IN (SELECT feature_i FROM top WHERE rank_i <= 30)""")
+  WHERE t.rank_i <= 5 AND m.feature_j IN (SELECT feature_i FROM top WHERE rank_i <= 5)""")
 def q_top_k_correlated(spark, sf):
-    return P.top_k_correlated(cleaned(spark, sf), 30)
+    return P.top_k_correlated(cleaned(spark, sf), 5)
 
 
 SQL_VAR = ("vs AS (" + _u("SELECT {i} AS pos, '{c}' AS feature, var_samp({c}) AS variance FROM cleaned", FEAT) + ")",
@@ -111,19 +111,19 @@ def q_class_histogram(spark, sf):
     return P.class_histogram(_top8_clipped(spark, sf))
 
 
-SQL_SAMPLE = "smp AS (SELECT * FROM cleaned ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id LIMIT 50000)"
+SQL_SAMPLE = "smp AS (SELECT * FROM cleaned ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id LIMIT 2000)"
 
 
 @register("sample_rows", S.sql_cleaned(False, SQL_SAMPLE) + "SELECT * FROM smp")
 def q_sample_rows(spark, sf):
-    return P.sample_rows(cleaned(spark, sf), 50000)
+    return P.sample_rows(cleaned(spark, sf), 2000)
 
 
 _BOX = FEAT[:6]
 
 
-@register("box_stats_by_class", S.sql_cleaned(False, SQL_SAMPLE, "bl AS (" + _u(
-    "SELECT Label_Binary, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM smp", _BOX) + ")", """cap AS (
+@register("box_stats_by_class", S.sql_cleaned(False, "bl AS (" + _u(
+    "SELECT Label_Binary, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM cleaned", _BOX) + ")", """cap AS (
   SELECT feature, quantile_cont(value, 0.99) AS cap FROM bl GROUP BY feature),
 bc AS (SELECT bl.Label_Binary, bl.feature, least(bl.value, cap.cap) AS value FROM bl JOIN cap ON bl.feature = cap.feature),
 bq AS (SELECT feature, Label_Binary, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
@@ -136,7 +136,7 @@ FROM bc JOIN bq ON bc.feature = bq.feature AND bc.Label_Binary = bq.Label_Binary
 GROUP BY bq.feature, bq.Label_Binary, bq.q1, bq.median, bq.q3""")
 def q_box_stats_by_class(spark, sf):
     c = cleaned(spark, sf)
-    return P.box_stats_by_class(P.sample_rows(c, 50000), P.match_columns(c))
+    return P.box_stats_by_class(c, P.match_columns(c))
 
 
 @register("dataset_summary", S.sql_cleaned(False, """ds AS (SELECT Label, count(*) AS c FROM cleaned GROUP BY Label),
@@ -208,10 +208,13 @@ def q_correlation_filter_068(spark, sf):
     return FE.correlation_drops(d, cols, 0.68)
 
 
-@register("stratified_cap", S.sql_cleaned() + "SELECT * FROM cleaned")
+@register("stratified_cap", S.sql_cleaned(False, """rk AS (SELECT *,
+  row_number() OVER (PARTITION BY Label_Multi ORDER BY md5(CAST(flow_id AS VARCHAR) || '|42'), flow_id) AS rk_,
+  count(*) OVER (PARTITION BY Label_Multi) AS n_, count(*) OVER () AS t_ FROM cleaned)""") + """SELECT * EXCLUDE (rk_, n_, t_)
+FROM rk WHERE rk_ <= CASE WHEN t_ > 3000 THEN CAST(floor(n_ * 3000 / t_ + 0.5) AS BIGINT) ELSE n_ END""")
 def q_stratified_cap(spark, sf):
-    """Reference cap of 300k rows for the importance forest."""
-    return FE.stratified_cap(cleaned(spark, sf), 300000)
+    """A stratified sample of 3,000 rows (the sample size is its feature)."""
+    return FE.stratified_cap(cleaned(spark, sf), 3000)
 
 
 @register("project_selected", S.sql_cleaned() +

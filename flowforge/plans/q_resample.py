@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from flowforge.operators import features as FE
 from flowforge.operators import resample as RS
 from flowforge.plans import stages as S
 from flowforge.plans.catalog import register
@@ -13,8 +12,7 @@ from flowforge.plans.catalog import register
 
 def _smote(spark, sf):
     d, cols = S.split_dataset(spark, sf)
-    train = FE.stratified_cap(d.where(F.col("split") == "train"), 500000)  # reference cap
-    return RS.smote_oversample(train, cols, "Label_Multi", "flow_id", k=5, seed=42)
+    return RS.smote_oversample(d.where(F.col("split") == "train"), cols, "Label_Multi", "flow_id", k=5, seed=42)
 
 
 @register("smote_oversample")

@@ -20,7 +20,7 @@ SQL_BASE = ["""nm AS (SELECT DISTINCT trim(label) AS name, CAST(dense_rank() OVE
             """cf AS (SELECT flow_id, max(p) AS confidence FROM preds_proba GROUP BY flow_id)""",
             """base AS (SELECT p.flow_id, nm.name AS attack_type, cf.confidence FROM preds p JOIN cf ON p.flow_id = cf.flow_id
   LEFT JOIN nm ON nm.code = p.y_pred)""",
-            """att AS (SELECT * FROM base WHERE attack_type <> 'BENIGN')""",
+            """att AS (SELECT * FROM base WHERE attack_type IS DISTINCT FROM 'BENIGN')""",
             f"""sev AS (SELECT *, CASE WHEN attack_type IN {HIGH} THEN 'High' WHEN attack_type IN {MEDIUM} THEN 'Medium' ELSE 'Low' END AS severity FROM att)""",
             """alr AS (SELECT printf('ALT-%05d', row_number() OVER (ORDER BY flow_id)) AS alert_id,
   TIMESTAMP '2024-01-01 00:00:00' + to_seconds(CAST((row_number() OVER (ORDER BY flow_id) - 1) * 3 - floor(count(*) OVER () / 100) * 3600 AS BIGINT)) AS timestamp,
@@ -89,7 +89,7 @@ def q_alerts_by_severity(spark, sf):
 
 
 @register("alert_feed", SQL_ALERTS +
-          "SELECT alert_id, timestamp, attack_type, confidence_pct, severity FROM flt ORDER BY alert_id LIMIT 500")
+          "SELECT alert_id, timestamp, attack_type, confidence_pct, severity FROM flt ORDER BY CAST(substr(alert_id, 5) AS BIGINT) LIMIT 500")
 def q_alert_feed(spark, sf):
     return SC.alert_feed(filtered(spark, sf), 500)
 
@@ -123,17 +123,18 @@ _SCALED = ("tr AS (SELECT * FROM spl WHERE split = 'train')",
            "sp AS (" + "\nUNION ALL ".join(
                f"SELECT '{c}' AS feature, avg({c}) AS m, CASE WHEN stddev_pop({c}) = 0 THEN 1.0 ELSE stddev_pop({c}) END AS s FROM tr"
                for c in FIN) + ")",
-           "first100 AS (SELECT * FROM tr ORDER BY flow_id LIMIT 100)")
+           )
 
 
 @register("feature_defaults", S.sql_split(*_SCALED) + "\nUNION ALL ".join(
-    f"SELECT {i} AS pos, '{c}' AS feature, quantile_cont((CAST({c} AS DOUBLE) - (SELECT m FROM sp WHERE feature = '{c}')) "
-    f"/ (SELECT s FROM sp WHERE feature = '{c}'), 0.5) AS \"default\" FROM first100" for i, c in enumerate(FIN)))
+    f"SELECT {i} AS pos, '{c}' AS feature, round(quantile_cont((CAST({c} AS DOUBLE) - (SELECT m FROM sp WHERE feature = '{c}')) "
+    f"/ (SELECT s FROM sp WHERE feature = '{c}'), 0.5), 7) AS \"default\" FROM tr" for i, c in enumerate(FIN)))
 def q_feature_defaults(spark, sf):
     d, cols = S.split_dataset(spark, sf)
     tr = d.where(F.col("split") == "train")
     params = SP.scaler_params(SP.fit_standard_scaler(tr, cols))
-    return SC.feature_defaults(SP.apply_standard_scaler(tr.select("flow_id", *cols), params), cols, 100)
+    out = SC.feature_defaults(SP.apply_standard_scaler(tr.select("flow_id", *cols), params), cols)
+    return out.withColumn("default", F.round("default", 7))
 
 
 @register("overview_kpis", FX.with_views(["model_preds"], *METRIC_CTES, *S.clean_ctes()) + """

@@ -36,7 +36,7 @@ def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | N
     mapping = put("label_mapping", L.label_mapping(cleaned.select("Label")))
     put("class_distribution", L.class_distribution(cleaned))
     put("dataset_summary", P.dataset_summary(cleaned))
-    final, cols = S.final_dataset(spark, sf_dir)
+    final, cols = S.final_dataset(spark, sf_dir, data=cleaned)
     split = put("split", SP.stratified_split(final, "Label_Multi", "flow_id"), partition_by=["split"])
     train = split.where(F.col("split") == "train")  # partition pruning
     resampled = None
@@ -45,16 +45,15 @@ def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | N
         resampled = SP.binary_from_multi(resampled, mapping)
     scaler = SP.scaler_params(put("scaler", SP.fit_standard_scaler(train, cols)))  # original train only
     fit_rows = SP.choose_training_set(train.drop("Label", "split"), resampled)
-    weights = SP.balanced_class_weights(fit_rows)
     vec = VectorAssembler(inputCols=cols, outputCol="features")
-    fit_rows = vec.transform(SP.with_class_weights(SP.apply_standard_scaler(fit_rows, scaler), weights)).persist()
+    fit_rows = vec.transform(SP.with_task_weights(SP.apply_standard_scaler(fit_rows, scaler), fit_rows)).persist()
     test = vec.transform(SP.apply_standard_scaler(split.where(F.col("split") == "test"), scaler))
     classes = sorted(r["code"] for r in mapping.select("code").collect())
     n_fit = fit_rows.count()
     rows, fitted = None, {}
     for name in models or M.MODEL_NAMES:
         for task in tasks:
-            m, r = M.train_and_evaluate(name, task, fit_rows, test, classes, n_fit, "weight",
+            m, r = M.train_and_evaluate(name, task, fit_rows, test, classes, n_fit, SP.weight_column(task),
                                         (params or {}).get(name))
             fitted[(name, task)] = m
             r = r.cache()
@@ -66,7 +65,8 @@ def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | N
     paths["best_model"] = f"{out}/best_model"
     M.save_model(best_model, paths["best_model"])
     raw = split.where(F.col("split") == "test").select("flow_id", *cols)
-    scored, _ = SC.score_flows(raw, best_model, cols, mapping, scaler)
+    scored, rejected = SC.score_flows(raw, best_model, cols, mapping, scaler)
+    put("rejects", rejected)
     attacks = SC.detect_attacks(scored).withColumn("confidence", F.col("Confidence") / 100.0)
     put("alerts", SC.build_alerts(attacks.withColumnRenamed("Predicted", "attack_type")))
     fit_rows.unpersist()

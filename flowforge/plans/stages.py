@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from flowforge.operators import clean as C
 from flowforge.operators import labels as L
 from flowforge.plans import fixtures as FX
+from flowforge.session import materialise
 
 
 def cleaned(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
@@ -46,20 +47,24 @@ def sql_cleaned(raw: bool = False, *extra: str) -> str:
     return FX.with_views(["flows_raw" if raw else "flows"], *clean_ctes(raw), *extra)
 
 
-def final_dataset(spark: SparkSession, sf_dir: str, k: int = 30) -> tuple[DataFrame, list[str]]:
-    """cleaned -> variance filter (0.01) -> correlation filter (0.95) ->
-    forest top-k (only when more than k features remain: otherwise top-k is
-    every feature) -> projection."""
+def final_dataset(spark: SparkSession, sf_dir: str, k: int = 30, forest_rows: int = 300_000,
+                  data: DataFrame | None = None) -> tuple[DataFrame, list[str]]:
+    """cleaned (written once; ``data``: an already written one) -> variance
+    filter (0.01) -> correlation filter (0.95) -> forest top-k -> projection.
+    Of k features or fewer, the top k are all of them in their own order, so no
+    forest is fitted; else it is fitted on a stratified sample of at most
+    ``forest_rows`` rows, and the features keep their order too."""
     from flowforge.operators import features as FE
-    c = cleaned(spark, sf_dir)
+    c = data if data is not None else materialise(cleaned(spark, sf_dir), "cleaned")
     cols = FE.numeric_features(c)
     d, _ = FE.variance_filter(c, 0.01, cols)
     cols = [x for x in cols if x in d.columns]
     d, _ = FE.correlation_filter(d, 0.95, cols)
     cols = [x for x in cols if x in d.columns]
     if len(cols) > k:
-        top = FE.importance_topk(FE.stratified_cap(d, 300000), cols, "Label_Multi", k)
-        cols = [r["feature"] for r in top.orderBy("rank").collect()]
+        top = FE.importance_topk(FE.stratified_cap(d, forest_rows), cols, "Label_Multi", k)
+        best = {r["feature"] for r in top.collect()}
+        cols = [c for c in cols if c in best]
     return FE.project_selected(d, cols), cols
 
 

@@ -12,7 +12,7 @@ from flowforge.operators import labels as L
 from flowforge.operators import models as M
 from flowforge.operators import split as SP
 from flowforge.plans import stages as S
-from flowforge.session import checkpoint_dir
+from flowforge.session import checkpoint_dir, materialise
 
 
 class Prepared:
@@ -30,15 +30,14 @@ class Prepared:
 def prepare(spark: SparkSession, sf_dir: str, persist: bool = True) -> Prepared:
     d, cols = S.split_dataset(spark, sf_dir)
     if persist:
-        d = d.persist()
+        d = materialise(d, "split")
     train = d.where(F.col("split") == "train")
     scaler = SP.scaler_params(SP.fit_standard_scaler(train, cols))
-    weights = SP.balanced_class_weights(train)
     mapping = L.label_mapping(d.select("Label"))
     x = SP.apply_standard_scaler(d, scaler)
-    x = SP.with_class_weights(x, weights)
+    x = SP.with_task_weights(x, train)
     x = VectorAssembler(inputCols=cols, outputCol="features").transform(
-        x.select("flow_id", "split", "Label", "Label_Binary", "Label_Multi", "weight",
+        x.select("flow_id", "split", "Label", "Label_Binary", "Label_Multi", "weight", "weight_binary",
                  *[F.col(c).cast("double").alias(c) for c in cols]))
     classes = sorted(r["code"] for r in mapping.select("code").collect())  # label-count bounded
     n_train = train.count()
@@ -47,7 +46,7 @@ def prepare(spark: SparkSession, sf_dir: str, persist: bool = True) -> Prepared:
 
 def train_one(p: Prepared, name: str, task: str, params: dict | None = None):
     return M.train_and_evaluate(name, task, p.split("train"), p.split("test"), p.classes,
-                                p.n_train, "weight", params)
+                                p.n_train, SP.weight_column(task), params)
 
 
 def train_all(p: Prepared, names: list[str] | None = None, tasks=("binary", "multi"),
@@ -58,7 +57,7 @@ def train_all(p: Prepared, names: list[str] | None = None, tasks=("binary", "mul
         for t in tasks:
             m, r = train_one(p, n, t, (params or {}).get(n))
             models[(n, t)] = m
-            r = r.cache()  # a few rows; keeps timings from being recomputed
+            r = materialise(r, "metrics")  # a few rows; keeps timings from being recomputed
             rows = r if rows is None else rows.unionByName(r)
     return models, rows
 

@@ -8,7 +8,9 @@ setting is unset (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="flowforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -56,6 +60,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a stage table into the shared folder and read it back: what stands
+    above is computed once, and scans keep column pruning and pushdown."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss;
     never ``localCheckpoint``)."""

@@ -7,7 +7,7 @@
 * every column is read as text first, then typed by one aggregate pass: a
   column whose non-empty values all parse as numbers (``inf``/``Infinity``/
   ``NaN`` spellings included, T-1) becomes bigint or double;
-* a file whose text decodes with U+FFFD is re-read as Latin-1 (T-3);
+* a file with bytes that are no valid UTF-8 is re-read as Latin-1 (T-3);
 * a missing or unreadable file is skipped; no readable file -> error.
 """
 
@@ -25,7 +25,6 @@ from pyspark.sql import types as T
 from flowforge.operators.clean import dedupe_names
 
 log = logging.getLogger(__name__)
-REPLACEMENT = "�"
 SOURCE_COL = "_source_file"
 
 
@@ -96,9 +95,9 @@ def read_flows(spark: SparkSession, paths: list[str], infer: bool = True,
     for h, files in groups.items():
         names = dedupe_names(list(h))
         d = _read_group(spark, files, names, "UTF-8")
-        # encoding fallback: files whose decoded text holds U+FFFD
-        probe = F.concat_ws("", *[F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names])
-        bad = [r[SOURCE_COL] for r in d.where(probe.contains(REPLACEMENT))
+        # encoding fallback: files with a line whose bytes are no valid UTF-8
+        lines = spark.read.text(files).select("value", F.col("_metadata.file_path").alias(SOURCE_COL))
+        bad = [r[SOURCE_COL] for r in lines.where(~F.is_valid_utf8("value"))
                .select(SOURCE_COL).distinct().collect()]  # bounded by the file count
         if bad:
             d = d.where(~F.col(SOURCE_COL).isin(bad)).unionByName(
@@ -110,20 +109,31 @@ def read_flows(spark: SparkSession, paths: list[str], infer: bool = True,
     return df if keep_source else df.drop(SOURCE_COL)
 
 
+def _plain_path(c) -> F.Column:
+    """A path without scheme and with single slashes (file URIs are decoded)."""
+    return F.regexp_replace(F.regexp_replace(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))),
+                                             r"^file:", ""), r"/+", "/")
+
+
 def source_inventory(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, present, rows, size_bytes) per expected file; missing files are
-    listed with present = false (left-anti of expected vs found)."""
+    """(path, present, rows, size_bytes) per expected file. A file that can be
+    read is present, with 0 rows if it holds a header only; others have null
+    rows and sizes."""
     heads = {p: _header(spark, p) for p in paths}
     found = [p for p, h in heads.items() if h is not None]
-    expected = spark.createDataFrame([(p,) for p in paths], "path string")
+    expected = spark.createDataFrame([(p, p in found) for p in paths], "path string, present boolean") \
+        .withColumn("_p", _plain_path(F.col("path")))
     if found:
         d = (spark.read.option("header", True).csv(found)
              .select(F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_size").alias("_sz")))
         counts = d.groupBy("_fp").agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
-                                      F.max("_sz").cast("bigint").alias("size_bytes"))
-        # _metadata paths are URIs; match on the path suffix
-        j = expected.join(counts, F.col("_fp").endswith(F.col("path")), "left")
+                                      F.max("_sz").cast("bigint").alias("_sz"))
+        sizes = spark.read.format("binaryFile").load(found).select(
+            _plain_path(F.col("path")).alias("_p"), F.col("length").cast("bigint").alias("size_bytes"))
+        j = expected.join(sizes, "_p", "left").join(
+            counts.select(_plain_path(F.col("_fp")).alias("_p"), "rows"), "_p", "left") \
+            .withColumn("rows", F.when(F.col("present"), F.coalesce("rows", F.lit(0).cast("bigint"))))
     else:
         j = expected.withColumn("rows", F.lit(None).cast("bigint")).withColumn(
             "size_bytes", F.lit(None).cast("bigint"))
-    return j.select("path", F.col("rows").isNotNull().alias("present"), "rows", "size_bytes")
+    return j.select("path", "present", "rows", "size_bytes")

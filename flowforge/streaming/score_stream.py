@@ -18,7 +18,7 @@ from flowforge.operators import score as SC
 
 def alert_stream(stream: DataFrame, model, features: list[str], mapping: DataFrame,
                  scaler: dict | None) -> DataFrame:
-    scored, _rejected = SC.score_flows(stream, model, features, mapping, scaler)
+    scored, _ = SC.score_flows(stream, model, features, mapping, scaler)
     attacks = SC.detect_attacks(scored, "Predicted").withColumnRenamed("Predicted", "attack_type")
     return SC.severity(attacks, "attack_type")
 
@@ -26,14 +26,21 @@ def alert_stream(stream: DataFrame, model, features: list[str], mapping: DataFra
 def score_stream(spark: SparkSession, source_dir: str, schema: T.StructType, model,
                  features: list[str], mapping: DataFrame, scaler: dict | None,
                  sink_dir: str, checkpoint: str, fmt: str = "parquet",
-                 available_now: bool = True, max_files_per_trigger: int | None = None):
+                 available_now: bool = True, max_files_per_trigger: int | None = None,
+                 rejects_dir: str | None = None):
     """Start the streaming query; with ``available_now`` it processes what is
-    there and stops (call ``.awaitTermination()``)."""
+    there and stops (call ``.awaitTermination()``). Rows that cannot be scored
+    (null, NaN or infinite features) go to ``rejects_dir``, if given, by a
+    second query over the same source."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     alerts = alert_stream(reader.load(source_dir), model, features, mapping, scaler)
     w = (alerts.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
-    return w.start(sink_dir)
+    when = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+    if rejects_dir:
+        _, rejected = SC.score_flows(reader.load(source_dir), model, features, mapping, scaler)
+        rejected.writeStream.format("parquet").outputMode("append").option(
+            "checkpointLocation", f"{checkpoint}-rejects").trigger(**when).start(rejects_dir)
+    return w.trigger(**when).start(sink_dir)

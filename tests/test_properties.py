@@ -152,9 +152,10 @@ def test_shapley_efficiency(spark, prepared):
 
 def test_param_space_sizes(spark):
     assert {f: TU.grid_size(f) for f in TU.PARAM_GRIDS} == {
-        "RandomForest": 288, "BoostedTrees": 3072, "DecisionTree": 192, "LogisticRegression": 20}
-    assert TU.param_space(spark, "DecisionTree").count() == 192
-    assert len(TU.sample_params(TU.param_space(spark, "LogisticRegression"), 15)) == 15
+        "RandomForest": 96, "BoostedTrees": 3072, "DecisionTree": 48, "LogisticRegression": 10}
+    assert TU.param_space(spark, "DecisionTree").count() == 48
+    assert len(TU.sample_params(TU.param_space(spark, "DecisionTree"), 15)) == 15
+    assert len(TU.sample_params(TU.param_space(spark, "LogisticRegression"), 15)) == 10
     assert TU.to_spark_params("RandomForest", {"max_depth": None, "min_samples_split": 5}) == {"maxDepth": 30}
 
 
