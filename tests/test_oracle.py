@@ -17,7 +17,9 @@ SUBSET = ["read_flows", "inf_to_null", "drop_duplicate_rows", "cleaning_audit",
           "correlation_filter_068", "stratified_split", "fit_standard_scaler", "confusion_matrix",
           "weighted_prf", "classification_report", "roc_auc_binary", "roc_auc_ovr_weighted",
           "roc_curve", "metrics_row", "metrics_long", "build_alerts", "alert_feed",
-          "top_class_probabilities", "linear_attribution", "local_explanations", "tuning_report"]
+          "top_class_probabilities", "linear_attribution", "local_explanations", "tuning_report",
+          "read_flows_csv", "read_encoding_fallback", "source_inventory", "write_dataset", "export_csv",
+          "stratified_cap", "split_xy", "task_class_weights", "model_store"]
 
 
 @pytest.fixture(scope="module")
