@@ -7,8 +7,10 @@ end). Neighbours in such an order share the longest prefixes: a node is a
 candidate partner of the next ``reach`` nodes that agree with it in at least 4
 values, so sparse regions are searched down to 4 values and dense regions only
 as deep as the longest prefixes there. Regions that hold more nodes than that
-are not cut off: rounds follow in which nodes of different components meet at
-larger distances in the order, until no such pair is left.
+are not cut off: where such a region still has several components, each node
+outside its largest one counts the shingles that it shares with all others by an
+inverted list, so that every link between its components is found and no pairs
+are formed.
 
 Candidates that could reach the threshold (set sizes; 2-bit signatures, passed
 unless five standard deviations below it) are confirmed on the full shingle
@@ -26,6 +28,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,8 @@ VALUES = 64
 TREES = 16
 LEAST = 4  # values that candidates share at least
 DEEP = 12  # values by which a tree is sorted
+#: Nodes of a region that one task holds, about (two such blocks meet).
+BLOCK = 2048
 #: Ids of at most so many candidates are broadcast (16 bytes each).
 MOST_ENDS = 500_000
 _RNG = np.random.default_rng(20_11)
@@ -116,32 +121,30 @@ def forest(nodes: DataFrame) -> DataFrame:
         grow, "tree int, key bigint, rest binary, node bigint, th bigint, n bigint, b0 bigint, b1 bigint")
 
 
-def neighbours(trees: DataFrame, near: int, far: int, percent: int) -> DataFrame:
-    """Pairs of nodes that lie ``near`` to ``far`` places apart in a region of
-    a tree's order, that may reach the threshold and that are in different
-    components (column c)."""
+def neighbours(trees: DataFrame, reach: int, percent: int) -> DataFrame:
+    """Pairs of nodes at most ``reach`` places apart in a region of a tree's
+    order that may reach the threshold."""
     share = percent / 100
     equal = share + (1 - share) / 4  # of 2-bit values, at the threshold
     least = int(VALUES * equal - 5 * np.sqrt(VALUES * equal * (1 - equal)))
     names = ["a", "tha", "b", "thb"]
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None  # the last ``far`` rows, from earlier batches
+        kept = None  # the last ``reach`` rows, from earlier batches
         for batch in batches:
-            cols = [batch.column(i).to_numpy() for i in range(8)]
+            cols = [batch.column(i).to_numpy() for i in range(7)]
             held = 0
             if kept is not None:
                 held = len(kept[0])
                 cols = [np.concatenate([k, c]) for k, c in zip(kept, cols, strict=True)]
-            tree, key, node, th, n, b0, b1, c = cols
+            tree, key, node, th, n, b0, b1 = cols
             # a new row meets the rows before it
-            for gap in range(near, min(far, len(tree) - 1) + 1):
+            for gap in range(1, min(reach, len(tree) - 1) + 1):
                 j = np.arange(max(gap, held), len(tree))
                 j = j[(tree[j] == tree[j - gap]) & (key[j] == key[j - gap])]
                 if not len(j):
                     break
                 i = j - gap
-                j, i = (x[c[i] != c[j]] for x in (j, i))
                 same = np.bitwise_count((~((b0[i] ^ b0[j]) | (b1[i] ^ b1[j]))).view(np.uint64))
                 fits = (same >= least) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
                 j, i = j[fits], i[fits]
@@ -149,19 +152,16 @@ def neighbours(trees: DataFrame, near: int, far: int, percent: int) -> DataFrame
                     first = node[i] < node[j]
                     a, b = np.where(first, i, j), np.where(first, j, i)
                     yield pa.record_batch([pa.array(x) for x in (node[a], th[a], node[b], th[b])], names=names)
-            kept = [x[-far:] for x in cols]
+            kept = [x[-reach:] for x in cols]
 
     ordered = trees.repartition("tree", "key").sortWithinPartitions("tree", "key", "rest", "node") \
-        .select("tree", "key", "node", "th", "n", "b0", "b1", "c")
+        .select("tree", "key", "node", "th", "n", "b0", "b1")
     return ordered.mapInArrow(pairs, "a bigint, tha bigint, b bigint, thb bigint").distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold: a, b."""
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("t")) \
-        .withColumn("h", F.xxhash64("t"))
-    ends = stored(pairs.select(F.col("a").alias("id"), F.col("tha").alias("h")).union(pairs.select("b", "thb")).distinct(),
-                  "ends")
+def _texts(ends: DataFrame, docs: DataFrame) -> DataFrame:
+    """Compressed texts (t) of the documents in ``ends`` (id, h), stored."""
+    ends = stored(ends.distinct(), "ends")
     if ends.count() <= MOST_ENDS:
         ends = F.broadcast(ends)
 
@@ -170,15 +170,26 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
             z = [zlib.compress(t.as_buffer().to_pybytes(), 1) for t in batch.column(2)]
             yield pa.record_batch([*batch.columns[:2], pa.array(z, pa.binary())], names=["id", "h", "t"])
 
-    texts = texts.join(ends, ["id", "h"]).select("id", "h", "t").mapInArrow(squeeze, "id bigint, h bigint, t binary")
-    texts = stored(texts.groupBy("id", "h").agg(F.min("t").alias("t")), "texts")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("id"), text_or_empty().alias("t")) \
+        .withColumn("h", F.xxhash64("t")).join(ends, ["id", "h"]).select("id", "h", "t") \
+        .mapInArrow(squeeze, "id bigint, h bigint, t binary")
+    return stored(texts.groupBy("id", "h").agg(F.min("t").alias("t")), "texts")
+
+
+def _sets_of(packed, words: int) -> Iterator[np.ndarray]:
+    return shingle_sets(*string_bytes(pa.array([zlib.decompress(z) for z in packed], pa.binary())), words)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold: a, b."""
+    ends = pairs.select(F.col("a").alias("id"), F.col("tha").alias("h")).union(pairs.select("b", "thb"))
+    texts = _texts(ends, docs)
     one = texts.select(F.col("id").alias("a"), F.col("h").alias("tha"), F.col("t").alias("ta"))
     two = texts.select(F.col("id").alias("b"), F.col("h").alias("thb"), F.col("t").alias("tb"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (shingle_sets(*string_bytes(pa.array([zlib.decompress(z.as_buffer()) for z in batch.column(i)],
-                                                               pa.binary())), words) for i in (2, 3))
+            left, right = (_sets_of([z.as_buffer() for z in batch.column(i)], words) for i in (2, 3))
             good = []
             for x, y in zip(left, right, strict=True):
                 both = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
@@ -189,7 +200,48 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         .mapInArrow(check, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: int = 2) -> DataFrame:
+def region_links(members: list[np.ndarray], component: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
+    """Links between different components of a region, on full sets, one for
+    each node and other component: each node outside the region's largest
+    component counts the shingles that it shares with every other node by an
+    inverted list of shingles. No pair is formed but a link."""
+    names, sizes = np.unique(component, return_counts=True)
+    size = np.array([len(m) for m in members])
+    shingle = np.unique(np.concatenate(members), return_inverse=True)[1]
+    owner = np.repeat(np.arange(len(members)), size)
+    order = np.argsort(shingle, kind="stable")
+    lists, at = owner[order], np.searchsorted(shingle[order], np.arange(shingle.max() + 2))
+    first = np.cumsum(size) - size
+    for i in np.flatnonzero(component != names[np.argmax(sizes)]):
+        own = shingle[first[i]:first[i] + size[i]]
+        shared = np.bincount(np.concatenate([lists[at[s]:at[s + 1]] for s in own]), minlength=len(members))
+        near = np.flatnonzero((100 * shared >= percent * (size + size[i] - shared)) & (component != component[i]))
+        for j in near[np.unique(component[near], return_index=True)[1]]:
+            yield int(i), int(j)
+
+
+def dense_links(regions: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``regions``: tree, key, size, node, th, c (component). Links a, b between
+    components inside each region. A region of more than ``BLOCK`` nodes is cut
+    into blocks by hash, and every two blocks meet in a task of their own."""
+    texts = _texts(regions.select(F.col("node").alias("id"), F.col("th").alias("h")), docs)
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    dealt = regions.withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))) \
+        .select("tree", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "th", "c") \
+        .join(texts.select(F.col("id").alias("node"), F.col("h").alias("th"), "t"), ["node", "th"])
+
+    def find(df: pd.DataFrame) -> pd.DataFrame:
+        nodes, component = df["node"].to_numpy(), df["c"].to_numpy()
+        found = list(region_links(list(_sets_of(df["t"], words)), component, percent)) \
+            if (component != component[0]).any() else []
+        ends = np.array([(nodes[i], nodes[j]) for i, j in found], np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ends.min(1) if len(ends) else ends[:, 0], "b": ends.max(1) if len(ends) else ends[:, 1]})
+
+    return dealt.groupBy("tree", "key", "i", "j").applyInPandas(find, "a bigint, b bigint").distinct()
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: int = 4) -> DataFrame:
     """doc_id, th (hash of its text), n_shingles, component_id and kept for
     every row: documents with 100 * intersection >= percent * union are linked."""
     sets = stored(document_sets(docs, words), "sets")
@@ -199,29 +251,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, reach: i
     nodes = stored(distinct.select("f1", "f2", F.col("n_shingles").alias("n"), F.col("m.doc_id").alias("node"),
                                    F.col("m.th").alias("th"), F.col("m.sig").alias("sig")), "nodes")
     trees = forest(nodes)
-    regions = trees.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    dense = regions.agg(F.max("size")).first()[0] or 0
-    seen = stored(neighbours(trees.withColumn("c", F.monotonically_increasing_id()), 1, reach, percent), "pairs")
-    links = stored(confirmed(seen, docs, words, percent), "links")
+    pairs = stored(neighbours(trees, reach, percent), "pairs")
+    links = stored(confirmed(pairs, docs, words, percent), "links")
     parts = components(links)
-    near, far = reach + 1, reach * 8
-    while near < dense:
-        member = parts.select(F.col("node").alias("_n"), "component")
-        marked = trees.join(member, F.expr("node = _n"), "left") \
-            .withColumn("c", F.coalesce("component", "node")).drop("_n", "component")
-        wide = marked.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("x"),
-                                                 F.max("c").alias("y")).where(f"size > {near} and x <> y")
-        wide = stored(wide, "wide")
-        if wide.isEmpty():
-            break
-        again = marked.join(wide.select("tree", "key"), ["tree", "key"])
-        new = stored(neighbours(again, near, far, percent).join(seen, ["a", "tha", "b", "thb"], "left_anti"), "pairs")
-        more = stored(confirmed(new, docs, words, percent), "links")
-        if not more.isEmpty():
-            links = links.union(more)
-            parts = components(links)
-        seen = seen.union(new)
-        near, far = far + 1, far * 8
+    member = parts.select(F.col("node").alias("_n"), "component")
+    marked = trees.select("tree", "key", "node", "th").join(member, F.expr("node = _n"), "left") \
+        .select("tree", "key", "node", "th", F.coalesce("component", "node").alias("c"))
+    wide = marked.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("x"),
+                                             F.max("c").alias("y")).where(f"size > {reach + 1} and x <> y")
+    regions = stored(marked.join(wide.select("tree", "key", "size"), ["tree", "key"]), "regions")
+    more = stored(dense_links(regions, docs, words, percent), "links")
+    if not more.isEmpty():
+        parts = components(links.union(more))
     member = parts.select(F.col("node").alias("_n"), "component")
     of_nodes = nodes.join(member, F.expr("node = _n"), "left").select(
         F.col("f1").alias("_1"), F.col("f2").alias("_2"), F.col("n").alias("_k"),

@@ -133,6 +133,17 @@ def test_near_duplicates_agree_with_brute_force(spark, clashing, empty):
     assert lshforest.near_duplicates(empty).count() == 0
 
 
+def test_blocks_of_a_dense_region_meet(spark, monkeypatch):
+    """A chain of 40 texts, each near the next only, in blocks of 6."""
+    monkeypatch.setattr(lshforest, "BLOCK", 6)
+    rows = [(k, " ".join(f"c{j}" for j in range(4 * k, 4 * k + 60))) for k in range(40)]
+    rows += [(100 + k, " ".join([f"c{j}" for j in range(60)] + [f"z{k}{j}" for j in range(k % 40)])) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = lshforest.near_duplicates(df, words=2, reach=1)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == \
+        brute_near(rows, 2, 80)
+
+
 def test_components_of_chains_and_hubs(spark):
     from flowforge.llm.graph import components
     rows = [(i, i + 1) for i in range(500)] + [(1000, 1000 + i) for i in range(1, 400)] + [(5000, 4999), (7, 7)]
