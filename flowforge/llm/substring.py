@@ -1,7 +1,7 @@
 """Substring dedup: repeated word windows, by a count-min prefilter.
 
-Pass 1 counts every window of ``width`` words in a count-min sketch: each task
-counts its own windows and emits the sketch as sorted cells, the tasks' sketches
+Pass 1 counts the documents of every window of ``width`` words in a count-min
+sketch: each task counts its own windows and emits the sketch as sorted cells, the tasks' sketches
 are merged cell range by cell range, and one bit per cell says "two or more".
 Pass 2 keeps the windows whose every cell says so; counts are never too low, so
 no repeated window is lost. These windows alone are grouped exactly, by 96 bits of
@@ -74,9 +74,9 @@ def text_windows(data: np.ndarray, offs: np.ndarray, width: int, families: int):
         yield a, [hash_windows(h, width, f)[keep] for f, h in enumerate(hashes)], row[keep], keep - first[row[keep]]
 
 
-def count_min(texts: DataFrame, width: int, cells: int) -> np.ndarray:
+def count_min(texts: DataFrame, width: int, cells: int, per_row: bool = False) -> np.ndarray:
     """Merged sketch of all windows as bits: [row, cell / 8], set where the
-    count is two or more."""
+    count is two or more. ``per_row``: a row counts a window once."""
     span = cells // RANGES
 
     def emit(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -101,9 +101,12 @@ def count_min(texts: DataFrame, width: int, cells: int) -> np.ndarray:
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for _, windows, _, _ in text_windows(*string_bytes(batch.column(0)), width, 1):
-                held.append(windows[0])
-                size += len(windows[0])
+            for _, (windows,), row, _ in text_windows(*string_bytes(batch.column(0)), width, 1):
+                if per_row and len(row):
+                    ends = np.append(np.flatnonzero(np.diff(row)) + 1, len(row))
+                    windows = np.concatenate([np.unique(w) for w in np.split(windows, ends[:-1])])
+                held.append(windows)
+                size += len(windows)
                 if size >= HELD:
                     yield emit(held)
                     held, size = [], 0
@@ -148,7 +151,7 @@ def repeated_windows(docs: DataFrame, width: int = 50, most_cells: int = 1 << 28
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cells = max(LEAST_CELLS, min(most_cells, 1 << (size // 4).bit_length()))
-    sketch = spark.sparkContext.broadcast(count_min(rows, width, cells))
+    sketch = spark.sparkContext.broadcast(count_min(rows.where("doc_id is not null"), width, cells, per_row=True))
     keyed = rows.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", F.hash("text"))
 
     def estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
