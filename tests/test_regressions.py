@@ -21,6 +21,17 @@ def test_alert_feed_orders_by_number(spark):
     assert [r["alert_id"] for r in SC.alert_feed(df).collect()] == ["ALT-10001", "ALT-99999", "ALT-100000"]
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_alerts_over_generated_and_stored_rows(spark, tmp_path, stored):
+    df = spark.range(1000).select(F.col("id").alias("flow_id"), F.when(F.col("id") % 3 == 0, "DDoS").otherwise("Bot")
+                                  .alias("attack_type"), F.lit(0.5).alias("confidence"))
+    if stored:
+        df.write.parquet(str(tmp_path / "a"))
+        df = spark.read.parquet(str(tmp_path / "a"))
+    rows = SC.build_alerts(df).orderBy("flow_id").collect()
+    assert [r["alert_id"] for r in rows[:2]] == ["ALT-00001", "ALT-00002"] and len(rows) == 1000
+
+
 def test_undecodable_class_is_an_attack_everywhere(spark):
     df = spark.createDataFrame([(1, "BENIGN"), (2, None), (3, "Bot")], "flow_id int, Predicted string")
     assert sorted(r["flow_id"] for r in SC.detect_attacks(df).collect()) == [2, 3]
