@@ -35,7 +35,7 @@ class MemoEncoder:
     """``keep_spaces``: a chunk begins with the space before it (byte-level
     vocabulary); else white space is dropped and letters are lower-cased."""
 
-    def __init__(self, path: str, keep_spaces: bool, limit: int = 1_600_000) -> None:
+    def __init__(self, path: str, keep_spaces: bool, limit: int = 800_000) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -74,6 +74,8 @@ class MemoEncoder:
     def _piece(self, piece: str) -> bytes:
         ids = self.pieces.get(piece)
         if ids is None:
+            if len(self.pieces) > self.limit // 2:
+                self.pieces.clear()
             mapped = piece.encode().decode("latin-1").translate(self.letters)
             ids = self.pieces[piece] = array("H", [t.id for t in self.tok.model.tokenize(mapped)]).tobytes()
         return ids
@@ -125,7 +127,7 @@ class MemoEncoder:
         """Ids of all rows of a string column, each row followed by
         ``end_id``, and the number of ids of each row."""
         parts = [self._slice(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], end_id)
-                 for a, b in row_slices(offs, 6 << 20)]
+                 for a, b in row_slices(offs, 2 << 20)]
         if not parts:
             return np.zeros(0, np.uint16), np.zeros(0, np.int64)
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
