@@ -55,7 +55,7 @@ def _cells(gaps: bytes) -> np.ndarray:
 
 
 def sketch_cell(window: np.ndarray, row: int, cells: int) -> np.ndarray:
-    """Cell of a window hash in one row (``cells`` is a power of two)."""
+    """Cell of a window hash in one row (``cells`` is a power of two, 2^31 at most)."""
     return (window >> np.uint64(32 * row)) & np.uint64(cells - 1)
 
 
@@ -83,15 +83,15 @@ def count_min(texts: DataFrame, width: int, cells: int, per_row: bool = False) -
         windows = np.concatenate(held)
         keys, once, twice = [], [], []
         for row in range(ROWS):
-            cell = np.sort(sketch_cell(windows, row, cells))
+            cell = np.sort(sketch_cell(windows, row, cells).astype(np.uint32))
             new = np.ones(len(cell), bool)
             new[1:] = cell[1:] != cell[:-1]
             many = np.zeros(len(cell), bool)
             many[:-1] = new[:-1] & ~new[1:]
-            at = np.searchsorted(cell, np.arange(RANGES + 1, dtype=np.uint64) * np.uint64(span))
+            at = np.searchsorted(cell, np.arange(RANGES + 1, dtype=np.uint32) * np.uint32(span))
             for r in range(RANGES):
                 s = slice(at[r], at[r + 1])
-                local = cell[s] - np.uint64(r * span)
+                local = cell[s] - np.uint32(r * span)
                 keys.append(row * RANGES + r)
                 once.append(_gaps(local[new[s] & ~many[s]]))
                 twice.append(_gaps(local[many[s]]))
