@@ -75,8 +75,10 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", F.expr("transform(embedding, x -> floor(256 * cast(x as double)) + 0d)").alias("v"))
+    # floor() turns NaN and infinity into whole numbers, so they become null first
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(
+        "transform(embedding, x -> if(isnan(x) or abs(x) = double('infinity'), null, "
+        "floor(256 * cast(x as double)) + 0d))").alias("v"))
     found = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 

@@ -56,6 +56,25 @@ def test_top_k_agrees_with_brute_force(spark, seed):
     assert topk.top_k(df.limit(0), df.limit(0), 5).count() == 0
 
 
+def test_top_k_query_leaves_out_non_finite_vectors(spark, tmp_path):
+    from flowforge.llm.queries import QUERIES
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(120, 8)).astype(np.float32)
+    nan, inf = float("nan"), float("inf")
+    odd = {3: [nan] + [9.0] * 7, 50: [nan] * 8, 60: [9.0] * 7 + [inf], 100: [-inf] + [1.0] * 7, 70: [9.0, None] * 4, 80: None}
+    rows = [(i, odd[i] if i in odd else v.tolist()) for i, v in enumerate(x)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = QUERIES["op10_nra_top_k"](spark, str(tmp_path)).collect()
+    whole = np.floor(256 * x.astype(float))
+    use = [i for i in range(120) if i not in odd]
+    expect = []
+    for q in (0,):  # 50 and 100 are odd
+        score = whole @ whole[q]
+        best = sorted((i for i in use if i != q), key=lambda i: (-score[i], i))[:5]
+        expect += [(q, k + 1, i, int(score[i])) for k, i in enumerate(best)]
+    assert sorted(map(tuple, got)) == expect
+
+
 def test_bounds_enclose_scores():
     rng = np.random.default_rng(3)
     x, q = rng.integers(-9, 9, (60, 5)).astype(float), rng.integers(-9, 9, (7, 5)).astype(float)
