@@ -5,6 +5,8 @@ single space or line break between two other characters never changes the
 split. Texts are therefore cut there (numpy, on the bytes), each distinct chunk
 goes to the library once per worker, and the ids of a text are gathered from
 the memo. Chunks are told apart by a 64-bit key that a second hash checks.
+Rows that hold a special string of the vocabulary go to the library whole, so
+that they get the special id as in its plain call.
 """
 
 from __future__ import annotations
@@ -33,13 +35,17 @@ def _byte_letters() -> dict[int, str]:
 
 class MemoEncoder:
     """``keep_spaces``: a chunk begins with the space before it (byte-level
-    vocabulary); else white space is dropped and letters are lower-cased."""
+    vocabulary); else white space is dropped and letters are lower-cased.
+    ``special_as_text``: special strings in a text are encoded as ordinary text
+    (not the library's default, and not what ``encoder`` uses)."""
 
-    def __init__(self, path: str, keep_spaces: bool, limit: int = 800_000) -> None:
+    def __init__(self, path: str, keep_spaces: bool, limit: int = 800_000, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = special_as_text
+        added = self.tok.get_added_tokens_decoder().values()
+        self.added = [t.content.encode().lower() for t in added if not (special_as_text and t.special)]
         self.keep_spaces, self.limit = keep_spaces, limit
         self.letters = _byte_letters()
         self._clear()
@@ -163,10 +169,24 @@ class MemoEncoder:
             bad[np.searchsorted(offs, at[space], "right") - 1] = True
         return bad
 
+    def _holds_added(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Rows with an added token of the vocabulary, in any case of letters."""
+        bad, low = np.zeros(len(offs) - 1, bool), data.tobytes().lower()
+        for token in self.added:
+            at = low.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offs, at, "right")) - 1
+                bad[row] = True
+                at = low.find(token, int(offs[row + 1]))  # one is enough for a row
+        return bad
+
     def _slice(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offs) - 1
         starts, ends, first = scan_words(data, offs)
-        if self.keep_spaces and (bad := self._irregular(data, offs, starts, ends, first)).any():
+        bad = self._holds_added(data, offs)
+        if self.keep_spaces:
+            bad |= self._irregular(data, offs, starts, ends, first)
+        if bad.any():
             cuts = np.unique(np.concatenate([[0, rows], np.flatnonzero(bad), np.flatnonzero(bad) + 1]))
             parts = [(self._plain if bad[a] else self._slice)(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], end_id)
                      for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -213,5 +233,5 @@ def encoder(path: str, keep_spaces: bool) -> MemoEncoder:
     """One encoder per worker process."""
     key = (path, keep_spaces)
     if key not in _ENCODERS:
-        _ENCODERS[key] = MemoEncoder(path, keep_spaces)
+        _ENCODERS[key] = MemoEncoder(path, keep_spaces, special_as_text=False)
     return _ENCODERS[key]

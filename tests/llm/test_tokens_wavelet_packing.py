@@ -34,6 +34,40 @@ def test_memo_encoder_agrees_with_the_library(name, spaces):
     assert ids.tolist() == sum(plain(name, ODD, 7), [])
 
 
+SPECIAL = ["<|endoftext|>", "one <|endoftext|> two", "a<|endoftext|>b<|startoftext|>", "plain text", "", "x <|ENDOFTEXT|> y",
+           "<|endoftext|", "|> <|", "  two\n\n<|startoftext|> \n", "été<|endoftext|>漢字", "<|endof", "text|>"]
+
+
+def unmodified(name, texts, end):
+    tok = Tokenizer.from_file(P.path(name))
+    return [tok.encode(t, add_special_tokens=False).ids + [end] for t in texts]
+
+
+@pytest.mark.parametrize("name,spaces", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_special_strings_get_the_librarys_ids(name, spaces):
+    from flowforge.llm.tokens import encoder
+    texts = SPECIAL + ODD + SPECIAL
+    expect = unmodified(name, texts, 7)
+    assert 50256 in expect[1] or 49407 in expect[1]
+    for _ in range(2):
+        ids, n = encoder(P.path(name), spaces).encode(*string_bytes(pa.array(texts)), 7)
+        at = np.cumsum(n) - n
+        assert [ids[a:a + k].tolist() for a, k in zip(at, n)] == expect
+
+
+def test_special_strings_in_the_queries(spark, tmp_path):
+    from flowforge.llm.queries import QUERIES
+    spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id bigint, text string") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    rows, start = QUERIES["op8_wavelet_ids"](spark, str(tmp_path)).orderBy("doc_id").collect(), 0
+    for r, ids in zip(rows, unmodified("byte_bpe_50k.json", SPECIAL, 2), strict=True):
+        assert (r["start"], r["n_tokens"]) == (start, len(ids))
+        assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    total = {r["doc_id"]: r["doc_tokens"] for r in QUERIES["op9_retrieval_packing"](spark, str(tmp_path)).collect()}
+    assert total == {i: len(ids) for i, ids in enumerate(unmodified("word_bpe_49k.json", SPECIAL, 1))}
+
+
 def test_wavelet_matrix_access_count_locate():
     rng = np.random.default_rng(0)
     for n in (0, 1, 7, 513, 3000):
