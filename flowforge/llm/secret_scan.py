@@ -2,8 +2,11 @@
 
 Patterns: ``assign`` (a sensitive name, an operator, a value of 8 or more
 characters), ``access`` (key ids of 16 or more), ``hex`` (runs of 32 or more).
-Lexing: lines that hold ``=`` or ``:`` are cut into statements of a target name
-and an expression of literals, names and ``+``. Names bound to literals are
+Lexing: texts are cut into tokens; ``=``, ``:``, ``:=`` and ``=>`` pair the name
+before them (a type or array declarator between is passed over) with the
+literals, names and ``+`` after them, across lines where brackets, a ``+``, an
+escaped line end or a deeper indent go on. What strings hold is lexed again.
+Names bound to literals are
 constants of the text and are put in where a later expression uses them. A
 literal is a secret (kind ``flow``) if its target's words are sensitive and its
 own length, variety and shape speak for a key rather than a placeholder.
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,11 +39,20 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _NAMED = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-_OPERATOR = re.compile(r"[:=]")
-_STATEMENT = re.compile(
-    r"""(?P<name>"[^"\n]+"|'[^'\n]+'|[A-Za-z_][A-Za-z0-9_.\-]*(?:\[["'][^"'\n]+["']\])?)\x20*(?::=|=>|[:=])(?![=/])\x20*"""
-    r"""(?P<value>(?:"[^"\n]*"|'[^'\n]*'|`[^`\n]*`|[A-Za-z0-9_+/.=\-]+)"""
-    r"""(?:\x20*\+\x20*(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z_][A-Za-z0-9_.]*))*)""")
+_TOKEN = re.compile(r"""(?:[^\S\n]|\\\r?\n)*(?:"""
+                    r"""((?:\b(?:[rRbBuUfFL]{1,2}|u8)|(?<![A-Za-z0-9_]))(?:\"{3}(?:\\.|[^\\])*?\"{3}|'{3}(?:\\.|[^\\])*?'{3}"""
+                    r"""|"(?:\\.|[^"\\\n])*"|'(?:\\.|[^'\\\n])*'|`(?:\\.|[^`\\\n])*`))"""
+                    r"""|([A-Za-z0-9_][A-Za-z0-9_.\-]*)|(:=|=>|(?:[=!<>]=+|::|->)|[:=])|(\n)|(\S))""", re.DOTALL)
+#: The same for languages where a backslash before a quote is no escape.
+_PLAIN_TOKEN = re.compile(_TOKEN.pattern.replace(r'(?:\\.|[^"\\\n])*', r'[^"\n]*').replace(r"(?:\\.|[^'\\\n])*", r"[^'\n]*"),
+                          re.DOTALL)
+STRING, WORD, OPERATOR, LINE, OTHER = range(1, 6)
+_QUOTE = re.compile(r"""[A-Za-z0-9]*(\"{3}|'{3}|["'`])""")
+_BARE = re.compile(r"[A-Za-z0-9_+/.=\-]+")
+_ASSIGNS = (":=", "=>", ":", "=")
+_TYPE_MARKS = frozenset("[]<>|,?&*()'.")
+#: Type names that may stand between a name and its operator (Go, SQL).
+_TYPES = ("string", "str", "text", "varchar", "char", "byte", "bytes", "object", "any")
 _TERM = re.compile(r""""[^"\n]*"|'[^'\n]*'|`[^`\n]*`|[A-Za-z0-9_/.=\-]+""")
 _WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -76,32 +89,218 @@ def literal_score(value: str) -> float:
     return min(1.0, bits / 4) * (0.6 + 0.2 * min(kinds, 2)) * (0.5 if " " in value else 1.0)
 
 
+class Lexed:
+    """Tokens of a stretch of a text: strings with escapes (triple quotes and
+    prefixes too), words, operators, line ends and other marks. Blanks and
+    escaped line ends only separate."""
+
+    def __init__(self, text: str, begin: int, end: int, token: re.Pattern = _TOKEN) -> None:
+        self.text, self.kinds, self.starts, self.ends = text, bytearray(), array("q"), array("q")
+        for m in token.finditer(text, begin, end):
+            kind = m.lastindex
+            self.kinds.append(kind)
+            self.starts.append(m.start(kind))
+            self.ends.append(m.end(kind))
+        self.n, self.begin, self.end = len(self.kinds), begin, end
+
+    def kind(self, i: int) -> int:
+        return self.kinds[i] if 0 <= i < self.n else 0
+
+    def word(self, i: int) -> str:
+        return self.text[self.starts[i]:self.ends[i]] if 0 <= i < self.n else ""
+
+    def content(self, i: int) -> tuple[int, int]:
+        """Span of what a string's quotes hold."""
+        quote = _QUOTE.match(self.text, self.starts[i])
+        return quote.end(), self.ends[i] - len(quote[1])
+
+    def indent(self, at: int) -> int:
+        """Blanks before the first character of the line of ``at``."""
+        start = max(self.text.rfind("\n", 0, at) + 1, self.begin)
+        while start < self.end and self.text[start] == "-" and self.text[start + 1:start + 2] == " ":
+            start += 2
+        line = self.text[start:at]
+        return len(line) - len(line.lstrip())
+
+    def past_lines(self, i: int) -> int:
+        while self.kind(i) == LINE:
+            i += 1
+        return i
+
+    def target(self, i: int) -> tuple[str, str, int]:
+        """Full name, plain name and start of what stands before operator i."""
+        j = i - 1
+        if self.word(i) == "=" and self.kind(j) == LINE:
+            j -= 1
+        while self.word(j) in ("?", "!") and self.kind(j) == OTHER:
+            j -= 1
+        last = j
+        while self.word(j) == "]" and self.kind(j) == OTHER:  # subscripts and array declarators
+            depth = 0
+            while j >= 0 and self.kind(j) != LINE and last - j < 64:
+                depth += {"]": 1, "[": -1}.get(self.word(j), 0) if self.kind(j) == OTHER else 0
+                j -= 1
+                if not depth:
+                    break
+            if depth:
+                return "", "", 0
+        if j == last and self.kind(j) == STRING:
+            a, b = self.content(j)
+            return self.text[a:b], self.text[a:b], self.starts[j]
+        if self.kind(j) != WORD:
+            return "", "", 0
+        if j == last and self.word(j).lower() in _TYPES and self.kind(j - 1) == WORD:
+            last = j = j - 1
+        name = self.word(j).lstrip("0123456789.-")
+        return self.text[self.starts[j]:self.ends[last]] if name else "", name, self.starts[j]
+
+    def typed(self, i: int) -> int:
+        """The ``=`` that ends the type annotation begun by ``:`` i, or 0."""
+        k, depth, named = i + 1, 0, False
+        while k < self.n:
+            kind, word = self.kinds[k], self.word(k)
+            if kind == OPERATOR and word == "=" and not depth:
+                apart = self.starts[k] > self.ends[k - 1] or self.starts[k + 1] > self.ends[k] if k + 1 < self.n else False
+                return k if named and (apart or self.kind(k + 1) == STRING) else 0
+            if kind == WORD:
+                named = True
+            elif kind == OTHER and word in _TYPE_MARKS and (word != "," or depth):
+                depth += (word in "[<(") - (word in "]>)")
+                if depth < 0:
+                    return 0
+            elif not (kind == STRING and depth) and not (kind == OPERATOR and word in ("::", "->")):
+                return 0
+            k += 1
+        return 0
+
+    def block(self, i: int, least: int) -> tuple[list[tuple[int, int]], int]:
+        """Lines after token i that are indented deeper than ``least``."""
+        parts, at = [], self.text.find("\n", self.starts[i], self.end) + 1
+        while 0 < at < self.end:
+            stop = self.text.find("\n", at, self.end)
+            stop = self.end if stop < 0 else stop
+            line = self.text[at:stop]
+            body = line.strip()
+            if body:
+                start = at + len(line) - len(line.lstrip())
+                if start - at <= least:
+                    break
+                parts.append((start, start + len(body)))
+            at = stop + 1
+        return parts, parts[-1][1] if parts else 0
+
+    def value(self, i: int, start: int, known: dict) -> tuple[list[tuple[int, int]], int]:
+        """Literals of the expression after operator i, and where it ends (0:
+        there is none). ``start``: where the statement's target begins."""
+        k, op, opened, parts, end = i + 1, self.word(i), [], [], 0
+        mark = self.word(k)
+        if op == ":" and mark in ("|", ">") and self.kind(k) == OTHER:
+            after = k + 1
+            while self.kind(after) in (WORD, OTHER) and self.word(after) in ("-", "+", *"123456789"):
+                after += 1
+            if self.kind(after) == LINE:
+                return self.block(k, self.indent(start))
+        if self.kind(k) == LINE:
+            k = self.past_lines(k)
+            if k >= self.n or self.indent(self.starts[k]) <= self.indent(start) and self.kind(k) != STRING:
+                return [], 0
+            if self.word(k) == "-" and op == ":":
+                k += 1
+            if self.kind(k) in (WORD, STRING) and self.kind(k + 1) == OPERATOR and self.word(k + 1) in _ASSIGNS:
+                return [], 0  # a statement of its own
+        while k < self.n:
+            kind, word = self.kinds[k], self.word(k)
+            if kind == OTHER and word in "([{":
+                opened.append(word)
+            elif kind == OTHER and word in ")]}" and opened:
+                opened.pop()
+                if not opened and parts:
+                    end = self.ends[k]
+            elif kind == LINE and opened:
+                pass
+            elif kind == OTHER and word == "," and opened and opened[-1] != "(":
+                pass
+            elif kind == OTHER and word in "@&$*" and self.kind(k + 1) == STRING:
+                pass
+            elif kind == STRING:
+                if self.kind(k + 1) == OPERATOR and self.word(k + 1) in _ASSIGNS and opened:
+                    break  # a key
+                parts.append(self.content(k))
+                end = self.ends[k]
+            elif kind == OTHER and word == "+" and parts:
+                k = self.past_lines(k + 1) - 1
+                if self.kind(k + 1) == WORD:
+                    a, b = _BARE.match(self.text, self.starts[k + 1], self.end).span()
+                    parts += known.get(self.text[a:b], [])
+                    end, k = b, self.at(b, k + 1) - 1
+            elif kind == LINE and parts and self.word(self.past_lines(k)) == "+":
+                pass
+            elif not parts and (bare := _BARE.match(self.text, self.starts[k], self.end)):
+                if opened and self.kind(self.at(bare.end(), k)) == OPERATOR:
+                    break
+                for term in _TERM.finditer(self.text, *bare.span()):
+                    parts += known.get(term[0], [term.span()])
+                end = bare.end()
+                k = self.at(end, k) - 1
+            else:
+                break
+            k += 1
+            if not opened and end and self.kind(k) not in (STRING, LINE) and self.word(k) != "+":
+                break
+        return parts, end
+
+    def at(self, place: int, i: int) -> int:
+        """The first token from i on that begins at ``place`` or later."""
+        while i < self.n and self.starts[i] < place:
+            i += 1
+        return i
+
+
 def flow_spans(text: str, least: float = 0.5) -> list[tuple[int, str, int]]:
     """Literals that reach a sensitive target, by constants as well."""
+    low = text.lower()
+    if not any(word in low for word in SENSITIVE):
+        return []
+    found = literals(text, least, _TOKEN)
+    if '\\"' in text or "\\'" in text:
+        # a path that ends in a backslash must not hide what follows it
+        found |= {p for p in literals(text, least, _PLAIN_TOKEN)
+                  if not any(p[0] < b and a < p[1] for a, b in found)}
+    return [(a, "flow", b) for a, b in found]
+
+
+def literals(text: str, least: float, token: re.Pattern) -> set[tuple[int, int]]:
     known: dict[str, list[tuple[int, int]]] = {}
     found: set[tuple[int, int]] = set()
-    done = -1
-    for op in _OPERATOR.finditer(text):
-        if op.start() < done:
-            continue
-        begin, end = text.rfind("\n", 0, op.start()) + 1, text.find("\n", op.start())
-        done = len(text) if end < 0 else end
-        for m in _STATEMENT.finditer(text, begin, done):
-            name = m["name"].strip("\"'")
-            parts: list[tuple[int, int]] = []
-            for term in _TERM.finditer(text, m.start("value"), m.end("value")):
-                word = term[0]
-                if word[0] in "\"'`":
-                    parts.append((term.start() + 1, term.end() - 1))
-                elif word in known:
-                    parts += known[word]
-                else:
-                    parts.append(term.span())
-            known[name] = parts
-            weight = target_score(name)
-            if weight and weight * literal_score("".join(text[a:b] for a, b in parts)) >= least:
-                found.update(p for p in parts if p[0] < p[1])
-    return [(a, "flow", b) for a, b in found]
+    stretches = [(0, len(text))]
+    while stretches:
+        lexed = Lexed(text, *stretches.pop(), token)
+        done = lexed.begin
+        i = lexed.kinds.find(OPERATOR)
+        while i >= 0:
+            op, at = lexed.word(i), i
+            if op in _ASSIGNS and not (op == ":" and text.startswith("//", lexed.ends[i])):
+                full, name, start = lexed.target(i)
+                if full and start >= done:
+                    weight = target_score(full)
+                    if op == ":" and (typed := lexed.typed(i)):
+                        weight = max(weight, target_score(text[lexed.ends[i]:lexed.starts[typed]]))
+                        at = typed
+                    parts, end = lexed.value(at, start, known)
+                    if parts:
+                        done = max(done, end)
+                        known[full] = known[name] = parts
+                        if weight and weight * literal_score("".join(text[a:b] for a, b in parts)) >= least:
+                            found.update(p for p in parts if p[0] < p[1])
+            i = lexed.kinds.find(OPERATOR, at + 1)
+        # what strings hold can be statements as well
+        i = lexed.kinds.find(STRING)
+        while i >= 0:
+            a, b = lexed.content(i)
+            if (a, b) not in found and ("=" in text[a:b] or ":" in text[a:b]):
+                stretches.append((a, b))
+            i = lexed.kinds.find(STRING, i + 1)
+    return found
 
 
 def find_spans(text: str) -> list[tuple[int, str, int]]:

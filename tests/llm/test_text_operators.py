@@ -172,6 +172,37 @@ def test_secret_patterns_and_flows(docs, clashing, empty):
     assert secret_scan.scan_secrets(empty).count() == 0
 
 
+KEY = "Zk81xYq93Lm0"
+FORMS = ["api_secret: str = \"K\"", "const password: string = \"K\"", "let passphrase: Option<&'static str> = \"K\";",
+         "def f(x: int = 3, db_password: Optional[str] = 'K'):", "var password string = \"K\"", "val apiSecret: String? = \"K\"",
+         "char password[] = \"K\";", "char passphrase[32] = \"K\";", "cfg[\"password\"] = \"K\"", "passphrase\t=\t\"K\"",
+         "passphrase\t:\tK", "passphrase:\n  K", "passphrase: |\n  K\nnext: 1", "passphrase: >-\n    K\n", "a:\n  passphrase:\n    \"K\"",
+         "passphrase = (\n    \"K\"\n)", "passphrase = \\\n    \"K\"", "passphrase =\n    \"K\"", "passphrase = \"\"\"K\"\"\"",
+         "passphrase = '' \"K\"", "passphrase = r'K'", "s = \"a\\\"b\"; passphrase = \"K\"", "f(\"a\\\"\", passphrase=\"K\")",
+         "{\"passphrase\": \"K\"}", "{\"passphrase\":\n \"K\"}", "passphrase=K", "passphrase := `K`", "it's passphrase = 'K'",
+         "{\"path\": \"C:\\\", \"passphrase\": \"K\"}", "url = \"db://h;passphrase=K;x\"", "passphrase = ''+\n  \"K\"", "const char *passphrase = \"K\";"]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_secret_literals_of_each_form(form):
+    text = "first = 1\n" + form.replace("K", KEY) + "\nlast: 2\n"
+    at = text.index(KEY)
+    spans = [(a, b) for a, k, b in secret_scan.find_spans(text) if k == "flow"]
+    assert (at, at + len(KEY)) in spans
+    assert all(text[a:b] == KEY for a, b in spans)
+
+
+def test_secret_literals_in_parts_and_escapes():
+    spans = lambda t: [t[a:b] for a, k, b in sorted(secret_scan.find_spans(t)) if k == "flow"]
+    assert spans('passphrase = ("Zk81xY"\n  "q93Lm0")') == ["Zk81xY", "q93Lm0"]
+    assert spans('passphrase = "Zk81xY" +\n  "q93Lm0"') == ["Zk81xY", "q93Lm0"]
+    assert spans('passphrase = "Zk81\\"xYq93Lm0"') == ['Zk81\\"xYq93Lm0']
+    assert spans('passphrase: |\n  Zk81xYq9\n  3Lm0aB7c\nother: 1') == ["Zk81xYq9", "3Lm0aB7c"]
+    assert spans('PASSPHRASE=\nCOLOUR=Zk81xYq93Lm0') == []
+    assert spans('passphrase:\n  colour: Zk81xYq93Lm0') == []
+    assert spans('apiSecret: SecretString = load()\nx = 1') == []
+
+
 def test_quality_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
