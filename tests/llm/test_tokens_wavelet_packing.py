@@ -144,6 +144,30 @@ def test_packing_statistics_and_neighbours(docs):
     assert [x[0] for x in p.open] == ["a", "c", "b"]
 
 
+def test_packing_finds_neighbours_in_other_partitions(spark):
+    rng = np.random.default_rng(2)
+    words = ["river", "engine", "violin", "planet", "cheese", "castle", "doctor", "window", "garden", "soldier"]
+    common = ["the", "of", "and", "in", "was", "that", "with", "this", "from", "they"]
+    rows = [(10 * part + k, " ".join([w] * 12 + [f"{x}" for x in rng.permutation(common)]))
+            for part in range(8) for k, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartitionByRange(8, "doc_id")
+    assert df.rdd.getNumPartitions() == 8
+    got = packing.pack(df, P.path("word_bpe_49k.json"), 1, width=64, shard_ids=400).collect()
+    order = [r["doc_id"] % 10 for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])) if r["start"] == 0]
+    assert sorted(order) == sorted(d % 10 for d, _ in rows)
+    # documents of one word stand together although each partition holds one
+    assert sum(a == b for a, b in zip(order, order[1:])) >= 0.75 * len(order)
+
+
+def test_packing_scores_with_all_terms_of_the_seed():
+    seed = np.arange(100, 140).repeat(3)
+    light = np.array([200])  # the only term that the other document shares, and the seed's lightest
+    index = packing.Index([np.concatenate([seed, light]), np.array([200, 300, 301]), np.array([400])],
+                          np.where(np.arange(1 << 16) == 200, 0.1, 5).astype(np.float32), 50.0)
+    score = index.scores(0)
+    assert score[1] > 0 and score[2] == 0
+
+
 def test_wavelet_query_digest(spark):
     from flowforge.llm.queries import QUERIES
     got = QUERIES["op8_wavelet_ids"](spark, "/root/testdata/sf0.001").orderBy("doc_id").collect()
