@@ -108,3 +108,18 @@ def test_lookup_beyond_its_bound_is_not_broadcast(spark):
     small, large = spark.range(5), spark.range(50)
     assert bounded_lookup(large, most=10) is large
     assert "ResolvedHint" in bounded_lookup(small, most=10)._jdf.queryExecution().analyzed().toString()
+
+
+def test_train_all_grows_the_operators_forest(spark, monkeypatch):
+    from flowforge.plans import q_models as Q
+    asked = {}
+
+    def train_all(p, names=None, params=None):
+        asked.update(params or {})
+        return {}, spark.createDataFrame([("RandomForest",), ("BoostedTrees",)], "model_name string")
+
+    monkeypatch.setattr(Q.T, "prepare", lambda spark, sf: None)
+    monkeypatch.setattr(Q.T, "train_all", train_all)
+    rows = {r["model_name"]: r for r in Q.q_train_all(spark, "").collect()}
+    assert "RandomForest" not in asked and rows["RandomForest"]["trees"] == 200
+    assert asked["BoostedTrees"]["maxIter"] == rows["BoostedTrees"]["rounds"]
