@@ -62,8 +62,9 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: SQL has no form for the fitted network and the tokenizer; tests compare the
-#: stages with brute force instead.
+#: SQL has no form for the fitted network and the tokenizer. Tests of the
+#: operators compare with brute force; those of the stages only check columns
+#: and counts.
 ORACLE_SQL = None
 
 
