@@ -1,93 +1,28 @@
 """Model training, prediction, persistence.
 
-All fits are Spark ML (distributed tree induction / L-BFGS); the train set is
-persisted once and reused by every fit. Multi-class boosted trees are a set
-of per-class binary GBT models (Spark's GBT is binary only, and OneVsRest
-gives no probabilities and cannot transform a stream).
+Trees, forests and logistic regression are Spark ML (distributed tree induction
+/ L-BFGS); boosted trees are ``operators.boosting`` (Spark's own are binary only).
+The train set is written once and reused by every fit.
 """
 
 from __future__ import annotations
 
-import json
 import time
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Model
 from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
-                                       GBTClassificationModel, GBTClassifier,
                                        LogisticRegression, LogisticRegressionModel,
                                        RandomForestClassificationModel, RandomForestClassifier)
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowforge.operators import evaluate as EV
+from flowforge.operators.boosting import BoostedModel, fit_boosted
 
 MODEL_NAMES = ["DecisionTree", "RandomForest", "BoostedTrees", "LogisticRegression"]
 SPARK_MAX_DEPTH = 30  # Spark's hard cap; "unlimited" depth maps here
 
 
-class OneVsRestGBTModel(Model):
-    """Per-class binary GBT models; probability = per-class positive
-    probabilities normalised to sum 1; prediction = arg-max."""
-
-    def __init__(self, models: list[GBTClassificationModel], classes: list[int],
-                 featuresCol: str = "features"):
-        super().__init__()
-        self.models, self.classes, self.features_col = models, classes, featuresCol
-
-    def _transform(self, df: DataFrame) -> DataFrame:
-        d = df
-        cols = []
-        for c, m in zip(self.classes, self.models):
-            m = m.copy()
-            m.setFeaturesCol(self.features_col).setProbabilityCol(f"_p{c}") \
-             .setRawPredictionCol(f"_r{c}").setPredictionCol(f"_y{c}")
-            d = m.transform(d).withColumn(f"_p{c}", vector_to_array(f"_p{c}")[1]).drop(f"_r{c}", f"_y{c}")
-            cols.append(f"_p{c}")
-        arr = F.array(*[F.col(c) for c in cols])
-        tot = F.aggregate(arr, F.lit(0.0), lambda a, x: a + x)
-        norm = F.transform(arr, lambda x: F.when(tot > 0, x / tot).otherwise(F.lit(1.0 / len(cols))))
-        d = d.withColumn("_arr", norm)
-        # pad to max class + 1 so position == class code
-        width = max(self.classes) + 1
-        pos = {c: i for i, c in enumerate(self.classes)}
-        full = F.array(*[(F.col("_arr")[pos[k]] if k in pos else F.lit(0.0)) for k in range(width)])
-        best = F.array_position(full, F.array_max(full)) - 1
-        return (d.withColumn("probability", array_to_vector(full))
-                .withColumn("prediction", best.cast("double"))
-                .drop("_arr", *cols))
-
-    def save(self, path: str) -> None:
-        for c, m in zip(self.classes, self.models):
-            m.write().overwrite().save(f"{path}/class_{c}")
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        spark.createDataFrame([(json.dumps({"classes": self.classes, "featuresCol": self.features_col}),)],
-                              "meta string").coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
-
-    @classmethod
-    def load(cls, path: str) -> "OneVsRestGBTModel":
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        meta = json.loads(spark.read.json(f"{path}/metadata").first()["meta"])
-        models = [GBTClassificationModel.load(f"{path}/class_{c}") for c in meta["classes"]]
-        return cls(models, meta["classes"], meta["featuresCol"])
-
-
-def fit_ovr_gbt(train: DataFrame, label_col: str, classes: list[int], parallelism: int | None = None,
-                **gbt_params) -> OneVsRestGBTModel:
-    """One binary GBT per class, fitted as concurrent Spark jobs (default:
-    all classes at once, at most 8)."""
-    parallelism = parallelism or min(len(classes), 8)
-    def fit_one(c):
-        d = train.withColumn("_bin", (F.col(label_col) == c).cast("double"))
-        return GBTClassifier(labelCol="_bin", featuresCol="features", **gbt_params).fit(d)
-    with ThreadPoolExecutor(max(1, parallelism)) as ex:
-        models = list(ex.map(fit_one, classes))
-    return OneVsRestGBTModel(models, classes)
-
-
 def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_col: str | None,
                    seed: int = 42, params: dict | None = None):
     """Reference settings mapped to Spark ML."""
@@ -103,8 +38,8 @@ def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_co
                                       featureSubsetStrategy=p.pop("featureSubsetStrategy", "sqrt"),
                                       **({"weightCol": weight_col} if weight_col else {}), **p)
     if name == "BoostedTrees":
-        return dict(maxIter=p.pop("maxIter", 200), stepSize=p.pop("stepSize", 0.1),
-                    maxDepth=p.pop("maxDepth", 7), seed=seed, **p)
+        return dict(rounds=p.pop("maxIter", 200), learning_rate=p.pop("stepSize", 0.1),
+                    max_depth=p.pop("maxDepth", 7), seed=seed, **p)
     if name == "LogisticRegression":
         C = p.pop("C", 1.0)
         return LogisticRegression(labelCol=label_col, featuresCol="features",
@@ -117,15 +52,12 @@ def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_co
 
 
 def fit_model(name: str, task: str, train: DataFrame, label_col: str, classes: list[int],
-              n_train: int, weight_col: str | None = "weight", params: dict | None = None,
-              parallelism: int | None = None):
+              n_train: int, weight_col: str | None = "weight", params: dict | None = None):
     """Fit one (model, task). Boosted trees take no class weights."""
     est = make_estimator(name, task, n_train, label_col,
                          None if name == "BoostedTrees" else weight_col, params=params)
     if name == "BoostedTrees":
-        if task == "binary":
-            return GBTClassifier(labelCol=label_col, featuresCol="features", **est).fit(train)
-        return fit_ovr_gbt(train, label_col, classes, parallelism, **est)
+        return fit_boosted(train, label_col, [0, 1] if task == "binary" else classes, **est)
     return est.fit(train)
 
 
@@ -169,17 +101,15 @@ def train_and_evaluate(name: str, task: str, train: DataFrame, test: DataFrame,
 
 
 def save_model(model, path: str) -> None:
-    if isinstance(model, OneVsRestGBTModel):
+    if isinstance(model, BoostedModel):
         model.save(path)
     else:
         model.write().overwrite().save(path)
 
 
 _LOADERS = {"DecisionTree": DecisionTreeClassificationModel, "RandomForest": RandomForestClassificationModel,
-            "BoostedTrees": GBTClassificationModel, "LogisticRegression": LogisticRegressionModel}
+            "BoostedTrees": BoostedModel, "LogisticRegression": LogisticRegressionModel}
 
 
 def load_model(name: str, task: str, path: str):
-    if name == "BoostedTrees" and task == "multi":
-        return OneVsRestGBTModel.load(path)
     return _LOADERS[name].load(path)

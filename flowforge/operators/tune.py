@@ -87,8 +87,10 @@ def to_spark_params(family: str, p: dict) -> dict:
             out["numTrees" if family == "RandomForest" else "maxIter"] = int(v)
         elif k == "max_depth":
             out["maxDepth"] = M.SPARK_MAX_DEPTH if v is None else min(int(v), M.SPARK_MAX_DEPTH)
-        elif k in ("min_samples_leaf", "min_child_weight"):
+        elif k == "min_samples_leaf":
             out["minInstancesPerNode"] = int(v)
+        elif k == "min_child_weight":
+            out["min_child_weight"] = float(v)
         elif k == "max_features":
             out["featureSubsetStrategy"] = str(v)
         elif k == "criterion":
@@ -96,9 +98,9 @@ def to_spark_params(family: str, p: dict) -> dict:
         elif k == "learning_rate":
             out["stepSize"] = float(v)
         elif k == "subsample":
-            out["subsamplingRate"] = float(v)
+            out["subsample"] = float(v)
         elif k == "colsample_bytree":
-            out["featureSubsetStrategy"] = repr(float(v))
+            out["colsample"] = float(v)
         elif k == "C":
             out["C"] = float(v)
         elif k == "penalty":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowforge.operators import features as FE
@@ -239,11 +240,18 @@ def q_selection_funnel(spark, sf):
     return FE.selection_funnel(len(FEAT), len(cols), n2, min(30, n2), spark)
 
 
-@register("importance_topk")
+@register("importance_topk", S.sql_cleaned() + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, TRUE AS in_range, TRUE AS ranked, TRUE AS sums_to_one" for c in S.FINAL_FEATURES))
 def q_importance_topk(spark, sf):
-    """Forest importances (rows-only check; property tests in tests/)."""
+    """Forest importances of all features, held against what importances must
+    obey: in [0, 1], ranked downwards, one in sum."""
     d, cols = _after_variance(spark, sf)
-    return FE.importance_topk(d, cols, "Label_Multi", k=30, num_trees=100, max_depth=20)
+    top = FE.importance_topk(d, cols, "Label_Multi", k=30, num_trees=100, max_depth=20)
+    by_rank = Window.orderBy("rank")  # at most k rows
+    total = F.sum("importance").over(Window.partitionBy())
+    return top.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                      F.coalesce(F.lag("importance").over(by_rank) >= F.col("importance"), F.lit(True)).alias("ranked"),
+                      (F.abs(total - 1) < 1e-9).alias("sums_to_one"))
 
 
 @register("numeric_features", S.sql_cleaned() + _u(

@@ -16,12 +16,13 @@ from flowforge.session import checkpoint_dir, materialise
 
 
 class Prepared:
-    """Scaled, weighted, vectorised splits plus what scoring needs later."""
+    """Scaled, weighted, vectorised splits (``raw``: the unscaled ones) plus what
+    scoring needs later."""
 
     def __init__(self, data: DataFrame, cols: list[str], scaler: dict, mapping: DataFrame,
-                 classes: list[int], n_train: int):
+                 classes: list[int], n_train: int, raw: DataFrame):
         self.data, self.cols, self.scaler, self.mapping = data, cols, scaler, mapping
-        self.classes, self.n_train = classes, n_train
+        self.classes, self.n_train, self.raw = classes, n_train, raw
 
     def split(self, name: str) -> DataFrame:
         return self.data.where(F.col("split") == name)
@@ -41,7 +42,7 @@ def prepare(spark: SparkSession, sf_dir: str, persist: bool = True) -> Prepared:
                  *[F.col(c).cast("double").alias(c) for c in cols]))
     classes = sorted(r["code"] for r in mapping.select("code").collect())  # label-count bounded
     n_train = train.count()
-    return Prepared(x, cols, scaler, mapping, classes, n_train)
+    return Prepared(x, cols, scaler, mapping, classes, n_train, d)
 
 
 def train_one(p: Prepared, name: str, task: str, params: dict | None = None):

@@ -11,6 +11,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +75,21 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     never ``localCheckpoint``)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package: Spark's file server hands out a zip of
+    the sources, once per application."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("app") == sc.applicationId:
+        return
+    root = Path(__file__).resolve().parent
+    zipped = Path(tempfile.mkdtemp(prefix="flowforge-")) / "flowforge.zip"
+    with zipfile.ZipFile(zipped, "w") as out:
+        for f in sorted(root.rglob("*.py")):
+            out.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(zipped))
+    _SHIPPED["app"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
