@@ -38,8 +38,8 @@ def make_estimator(name: str, task: str, n_train: int, label_col: str, weight_co
                                       featureSubsetStrategy=p.pop("featureSubsetStrategy", "sqrt"),
                                       **({"weightCol": weight_col} if weight_col else {}), **p)
     if name == "BoostedTrees":
-        return dict(rounds=p.pop("maxIter", 200), learning_rate=p.pop("stepSize", 0.1),
-                    max_depth=p.pop("maxDepth", 7), seed=seed, **p)
+        return dict(maxIter=p.pop("maxIter", 200), stepSize=p.pop("stepSize", 0.1),
+                    maxDepth=p.pop("maxDepth", 7), seed=seed, **p)
     if name == "LogisticRegression":
         C = p.pop("C", 1.0)
         return LogisticRegression(labelCol=label_col, featuresCol="features",
@@ -57,7 +57,9 @@ def fit_model(name: str, task: str, train: DataFrame, label_col: str, classes: l
     est = make_estimator(name, task, n_train, label_col,
                          None if name == "BoostedTrees" else weight_col, params=params)
     if name == "BoostedTrees":
-        return fit_boosted(train, label_col, [0, 1] if task == "binary" else classes, **est)
+        own = {"maxIter": "rounds", "stepSize": "learning_rate", "maxDepth": "max_depth"}
+        return fit_boosted(train, label_col, [0, 1] if task == "binary" else classes,
+                           **{own.get(k, k): v for k, v in est.items()})
     return est.fit(train)
 
 

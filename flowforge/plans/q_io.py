@@ -59,6 +59,41 @@ def q_source_inventory(spark, sf):
                    F.sum("rows").alias("rows"), (F.min("size_bytes") > 0).alias("sized"))
 
 
+def _put(spark, path, data):
+    """A file with the given bytes, through the file system of the shared folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at)
+    out.write(bytearray(data))
+    out.close()
+
+
+@register("skip_bad_file", FX.with_views(["flows"]) + """SELECT 'kept' AS result, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(flow_id) AS BIGINT) AS ids FROM flows
+UNION ALL SELECT 'columns', CAST(count(*) AS BIGINT), NULL FROM flows WHERE trim(label) = 'Bot'
+UNION ALL SELECT 'missing', 1, NULL UNION ALL SELECT 'damaged', 1, NULL UNION ALL SELECT 'empty', 1, NULL""")
+def q_skip_bad_file(spark, sf):
+    """All flows as packed CSV files, among files that are missing, empty or cut
+    short and one whose rows lack columns: what is kept, and what is rejected
+    and why."""
+    flows, path = FX.flows(spark, sf).select(*COLUMNS), _folder(spark, "flows-packed")
+    flows.repartition(4, "flow_id").write.option("header", True).option("compression", "gzip") \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    contents = spark.read.format("binaryFile").load(path)
+    files = [r["path"] for r in contents.select("path").collect()]  # file names
+    start = contents.where(F.col("path") == files[0]).select(F.expr("substring(content, 1, 500)")).first()[0]
+    other = _folder(spark, "flows-bad")
+    _put(spark, f"{other}/cut.csv.gz", start)
+    _put(spark, f"{other}/empty.csv", b"")
+    short = f"{other}/short"
+    flows.where("trim(label) = 'Bot'").select(F.concat_ws(",", "flow_id", "label").alias(",".join(COLUMNS))) \
+        .repartition(1).write.option("header", True).option("quoteAll", False).option("quote", "").csv(short)
+    kept, rejects = SRC.read_flows_checked(
+        spark, [*files, f"{other}/cut.csv.gz", f"{other}/empty.csv", short, f"{other}/none.csv"])
+    return kept.agg(F.lit("kept").alias("result"), F.count(F.lit(1)).alias("n"), F.sum("flow_id").alias("ids")) \
+        .unionByName(rejects.groupBy(F.col("reason").alias("result")).agg(
+            F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("ids")))
+
+
 @register("write_dataset", S.sql_split() + "SELECT flow_id, Label_Multi, split FROM spl")
 def q_write_dataset(spark, sf):
     """The split as a stage table partitioned by split, read back."""
