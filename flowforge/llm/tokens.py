@@ -1,45 +1,62 @@
 """Token ids of whole texts by the tokenizers library, with a bounded memo.
 
-Both vocabularies used here split a text before the merges, and a cut at a
-single space or line break between two other characters never changes the
-split. Texts are therefore cut there (numpy, on the bytes), each distinct chunk
-goes to the library once per worker, and the ids of a text are gathered from
-the memo. Chunks are told apart by a 64-bit key that a second hash checks.
-Rows that hold a special string of the vocabulary go to the library whole, so
-that they get the special id as in its plain call.
+Both vocabularies used here split a text before the merges. A cut at a single
+space or line break between two other characters never changes the split, and
+a word of Latin letters with ASCII punctuation after it (no apostrophe) splits
+into the letters and the punctuation. Texts are therefore cut into such pieces
+(numpy, on the bytes); the distinct pieces of a slice that the memo lacks go to
+the library in a few calls, and the ids of a text are gathered from the memo.
+Other words go to the library whole, as pieces of their own. Pieces are told
+apart by a 64-bit key that a second hash checks. Rows that hold a special string
+of the vocabulary, or white space of another form, go to the library whole, so
+that they get the ids of its plain call.
 """
 
 from __future__ import annotations
 
-import unicodedata
-from array import array
+import os
 
 import numpy as np
 
-from flowforge.llm.common import hash_words, row_slices, scan_words
+from flowforge.llm.common import hash_words, lowered, row_slices, scan_words
 
 #: First bytes of the white space characters beyond ASCII.
 _WIDE = np.zeros(256, bool)
 _WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-_PUNCT = "".join(chr(i) for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'")
+_PUNCT = np.zeros(256, bool)
+_PUNCT[[i for i in range(33, 127) if not chr(i).isalnum() and chr(i) != "'"]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[i for i in range(128) if chr(i).isalpha()]] = True
+#: Letters of two bytes up to U+00FF, by their second byte.
+_AFTER_C2, _AFTER_C3 = np.zeros(256, bool), np.zeros(256, bool)
+_AFTER_C2[[i for i in range(128, 192) if chr(i).isalpha()]] = True
+_AFTER_C3[[i - 64 for i in range(192, 256) if chr(i).isalpha()]] = True
 
+#: Keys of the same bytes that differ by what they are: with a space before,
+#: or not split.
+_LEAD, _WHOLE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x2545F4914F6CDD1D)
+#: Pieces that go to the library as one text.
+JOINED = 1000
 
-def _byte_letters() -> dict[int, str]:
-    """Byte-level alphabet: visible Latin-1 bytes stand for themselves, the
-    other bytes take the code points from 256 on, in order."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Bytes that belong to letters up to U+00FF."""
+    out = _LETTER[data]
+    if len(data) > 1:
+        second = ((data[:-1] == 0xC2) & _AFTER_C2[data[1:]]) | ((data[:-1] == 0xC3) & _AFTER_C3[data[1:]])
+        out[:-1] |= second
+        out[1:] |= second
+    return out
 
 
 class MemoEncoder:
-    """``keep_spaces``: a chunk begins with the space before it (byte-level
+    """``keep_spaces``: a piece begins with the space before it (byte-level
     vocabulary); else white space is dropped and letters are lower-cased.
     ``special_as_text``: special strings in a text are encoded as ordinary text
     (not the library's default, and not what ``encoder`` uses)."""
 
-    def __init__(self, path: str, keep_spaces: bool, limit: int = 800_000, special_as_text: bool = True) -> None:
+    def __init__(self, path: str, keep_spaces: bool, limit: int = 500_000, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -47,59 +64,72 @@ class MemoEncoder:
         added = self.tok.get_added_tokens_decoder().values()
         self.added = [t.content.encode().lower() for t in added if not (special_as_text and t.special)]
         self.keep_spaces, self.limit = keep_spaces, limit
-        self.letters = _byte_letters()
+        # tokens that begin a piece with a space before it, or that end a word
+        size = self.tok.get_vocab_size()
+        self.edge = np.zeros(size, bool)
+        for token, i in self.tok.get_vocab().items():
+            self.edge[i] = token.startswith("\u0120") if keep_spaces else token.endswith("</w>")
+        self.line_id = self.tok.encode("\n", add_special_tokens=False).ids
         self._clear()
 
     def _clear(self) -> None:
         # sorted keys with their entries: those learnt lately and all others
         self.levels = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
-        self.pieces: dict[str, bytes] = {}
-        self.flat = np.zeros(1 << 20, np.uint16)
-        self.used = 0
-        self.offs = array("q")
+        self.flat = np.zeros(1 << 16, np.uint16)
         # entries 0 and 1: the end id (set per row) and a line break
-        self.checks = np.zeros(2, np.uint64)
+        self.count, self.used = 0, 0
+        self.checks, self.offs, self.lens = np.zeros(1 << 14, np.uint64), np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
         self.end, self.line = 0, 1
-        self._append(np.zeros(1, np.uint16))
-        self._append(np.array(self.tok.encode("\n", add_special_tokens=False).ids, np.uint16))
-        self._index()
-
-    def _index(self) -> None:
-        offs = np.array(self.offs)
-        self.table = (offs, np.diff(offs, append=self.used))
-
-    def _append(self, ids: np.ndarray) -> None:
-        if self.used + len(ids) > len(self.flat):
-            grown = np.zeros(max(2 * len(self.flat), self.used + len(ids)), np.uint16)
-            grown[:self.used] = self.flat[:self.used]
-            self.flat = grown
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.offs.append(self.used)
-        self.used += len(ids)
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) > self.limit // 2:
-                self.pieces.clear()
-            mapped = piece.encode().decode("latin-1").translate(self.letters)
-            ids = self.pieces[piece] = array("H", [t.id for t in self.tok.model.tokenize(mapped)]).tobytes()
-        return ids
-
-    def _ids(self, chunk: str) -> bytes:
-        """A word of Latin letters with punctuation after it has a known split:
-        the letters, then the punctuation. All else takes the library's path."""
-        lead = " " if self.keep_spaces and chunk[:1] == " " else ""
-        word = chunk[len(lead):]
-        core = word.rstrip(_PUNCT)
-        if word and max(word) <= "ÿ" and (not core or core.isalpha()):
-            tail = word[len(core):]
-            if not self.keep_spaces:
-                core = unicodedata.normalize("NFC", core).lower()
-            if not core:
-                return self._piece(lead + tail)
-            return self._piece(lead + core) + (self._piece(tail) if tail else b"")
-        return array("H", self.tok.encode(chunk, add_special_tokens=False).ids).tobytes()
+        first = np.array([0, *self.line_id], np.uint16)
+        self._append(first, np.array([1, len(self.line_id)]), np.zeros(2, np.uint64))
+
+    @staticmethod
+    def _room(a: np.ndarray, size: int) -> np.ndarray:
+        if size <= len(a):
+            return a
+        out = np.zeros(max(size, len(a) * 3 // 2), a.dtype)
+        out[:len(a)] = a
+        return out
+
+    def _append(self, ids: np.ndarray, lens: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """New entries; returns their numbers."""
+        a, b, to = self.count, self.count + len(lens), self.used + len(ids)
+        self.flat = self._room(self.flat, to)
+        self.checks, self.offs, self.lens = (self._room(x, b) for x in (self.checks, self.offs, self.lens))
+        self.flat[self.used:to] = ids
+        self.checks[a:b], self.lens[a:b] = checks, lens
+        self.offs[a:b] = self.used + np.cumsum(lens) - lens
+        self.count, self.used = b, to
+        return np.arange(a, b)
+
+    def _each(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of pieces that are encoded one by one."""
+        found = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], np.uint16), np.array([len(ids) for ids in found], np.int64)
+
+    def _joined(self, pieces: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of letters only, many to a text: with spaces between
+        them, or with line breaks if no space belongs to them. Where they end is
+        seen on the ids."""
+        by_space = lead or not self.keep_spaces
+        groups = [pieces[i:i + JOINED] for i in range(0, len(pieces), JOINED)]
+        texts = [" " + " ".join(g) if by_space else "\n".join(g) + "\n" for g in groups]
+        all_ids, all_lens = [], []
+        for group, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.int64)
+            if not by_space:
+                ends = np.flatnonzero(ids == self.line_id[0])
+                lens = np.diff(ends, prepend=-1) - 1
+                ids = np.delete(ids, ends)
+            elif self.keep_spaces:
+                lens = np.diff(np.flatnonzero(self.edge[ids]), append=len(ids))
+            else:
+                lens = np.diff(np.flatnonzero(self.edge[ids]), prepend=-1)
+            if len(lens) != len(group) or lens.sum() != len(ids) or (lens < 1).any():
+                ids, lens = self._each([" " + p if lead else p for p in group])
+            all_ids.append(ids.astype(np.uint16))
+            all_lens.append(lens)
+        return np.concatenate(all_ids), np.concatenate(all_lens)
 
     def _known(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, -1 where it is new."""
@@ -111,14 +141,20 @@ class MemoEncoder:
                 index[hit] = entry[at[hit]]
         return index
 
-    def _learn(self, chunks: list[str], keys: np.ndarray, check: np.ndarray) -> np.ndarray:
-        entries = np.arange(len(self.offs), len(self.offs) + len(keys))
-        for c in chunks:
-            self._append(np.frombuffer(self._ids(c), np.uint16))
-        self.checks = np.concatenate([self.checks, check])
-        self._index()
-        (few, few_at), most = self.levels
-        level = self._merged((few, few_at), (keys, entries))
+    def _learn(self, pieces: list[str], lead: np.ndarray, plain: np.ndarray, keys: np.ndarray,
+               check: np.ndarray) -> np.ndarray:
+        """Entries of new pieces (``plain``: of letters only; ``lead``: with a
+        space before)."""
+        entries = np.zeros(len(keys), np.int64)
+        for kind in range(3):
+            mine = np.flatnonzero(~plain if kind == 2 else plain & (lead == bool(kind)))
+            if len(mine):
+                texts = [pieces[i] for i in mine]
+                ids, lens = self._each([" " + t if lead[i] else t for i, t in zip(mine, texts)]) if kind == 2 \
+                    else self._joined(texts, bool(kind))
+                entries[mine] = self._append(ids, lens, check[mine])
+        few, most = self.levels
+        level = self._merged(few, (keys, entries))
         self.levels = [level, most] if len(level[0]) < 1 << 17 else [
             (keys[:0], entries[:0]), self._merged(most, level)]
         return entries
@@ -180,6 +216,41 @@ class MemoEncoder:
                 at = low.find(token, int(offs[row + 1]))  # one is enough for a row
         return bad
 
+    def _entries(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray, lead: np.ndarray) \
+            -> tuple[np.ndarray | None, np.ndarray | None]:
+        """Memo entries of the letters and of the punctuation of distinct words
+        (-1: it has none; None: a key stands for two pieces)."""
+        letters = marks = np.full(len(starts), -1, np.int64)
+        if not len(starts):
+            return letters, marks
+        # where the punctuation begins, and whether all before it are letters
+        places = np.where(_PUNCT[text], 0, np.arange(1, len(text) + 1, dtype=np.int32))
+        core = np.maximum(np.maximum.accumulate(places)[ends - 1].astype(np.int64), starts)
+        others = np.concatenate([np.zeros(1, np.int32), np.cumsum(~_letters(text), dtype=np.int32)])
+        whole = others[core] > others[starts]
+        core[whole] = ends[whole]
+        has_core, has_tail = core > starts, ends > core
+        tails = int(has_tail.sum())
+        a, b = np.concatenate([starts[has_core], core[has_tail]]), np.concatenate([core[has_core], ends[has_tail]])
+        spaced = np.concatenate([lead[has_core], (lead & ~has_core)[has_tail]])
+        odd = np.concatenate([whole[has_core], np.zeros(tails, bool)])
+        key, check = (hash_words(text, a, b, family) for family in (0, 1))
+        unique, at, back = np.unique(key ^ (spaced * _LEAD) ^ (odd * _WHOLE), return_index=True, return_inverse=True)
+        if self.count > self.limit:
+            self._clear()
+        index = self._known(unique)
+        new = at[index < 0]
+        if len(new):
+            pieces = [text[i:j].tobytes().decode() for i, j in zip(a[new].tolist(), b[new].tolist())]
+            plain = ~odd[new] & (new < len(a) - tails)
+            index[index < 0] = self._learn(pieces, spaced[new], plain, unique[index < 0], check[new])
+        entry = index[back]
+        if (self.checks[entry] != check).any():
+            return None, None
+        letters, marks = letters.copy(), marks.copy()
+        letters[has_core], marks[has_tail] = entry[:len(entry) - tails], entry[len(entry) - tails:]
+        return letters, marks
+
     def _slice(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         rows = len(offs) - 1
         starts, ends, first = scan_words(data, offs)
@@ -191,35 +262,37 @@ class MemoEncoder:
             parts = [(self._plain if bad[a] else self._slice)(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], end_id)
                      for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        key, check = hash_words(data, starts, ends, 0), hash_words(data, starts, ends, 1)
+        text = data if self.keep_spaces else lowered(data)
         n = len(starts)
         row = np.repeat(np.arange(rows), np.diff(first))
-        line = np.zeros(n, bool)
+        lead, line = np.zeros(n, bool), np.zeros(n, bool)
         if self.keep_spaces and n:
             inner = np.ones(n, bool)
             inner[first[:-1][np.diff(first) > 0]] = False
             gap = data[np.maximum(starts - 1, 0)]
             lead, line = inner & (gap == 32), inner & (gap == 10)
-            key = key ^ (lead * np.uint64(0x5851F42D4C957F2D))
-        unique, at, back = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.offs) > self.limit:
-            self._clear()
-        index = self._known(unique)
-        new = np.flatnonzero(index < 0)
-        if len(new):
-            words = [(" " if self.keep_spaces and lead[i] else "") + data[starts[i]:ends[i]].tobytes().decode()
-                     for i in at[new]]
-            index[new] = self._learn(words, unique[new], check[at[new]])
-        if (self.checks[index][back] != check).any():  # two words with one 64-bit key
+        key, check = (hash_words(text, starts, ends, family) for family in (0, 1))
+        _, at, back = np.unique(key ^ (lead * _LEAD), return_index=True, return_inverse=True)
+        if (check[at][back] != check).any():  # two words with one 64-bit key
+            return self._plain(data, offs, end_id)
+        letters, marks = self._entries(text, starts[at], ends[at], lead[at])
+        if letters is None:
             return self._plain(data, offs, end_id)
-        broken = np.cumsum(line)
-        seq = np.empty(n + rows + (int(broken[-1]) if n else 0), np.int64)
-        place = np.arange(n) + broken + row
-        seq[place] = index[back]
-        seq[place[line] - 1] = self.line
-        last = np.concatenate([[0], broken])[first[1:]] + first[1:] + np.arange(rows)
+        letters, marks = letters[back], marks[back]
+        has_core, has_tail = letters >= 0, marks >= 0
+        # places in the sequence: line break, letters, punctuation of each word; the end of each row
+        parts = line.astype(np.int64) + has_core + has_tail
+        upto = np.cumsum(parts)
+        place = upto - parts + row
+        seq = np.empty((int(upto[-1]) if n else 0) + rows, np.int64)
+        seq[place[line]] = self.line
+        place += line
+        seq[place[has_core]] = letters[has_core]
+        place += has_core
+        seq[place[has_tail]] = marks[has_tail]
+        last = np.concatenate([[0], upto])[first[1:]] + np.arange(rows)
         seq[last] = self.end
-        begin, lens = self.table[0][seq], self.table[1][seq]
+        begin, lens = self.offs[seq], self.lens[seq].astype(np.int64)
         to = np.cumsum(lens)
         ids = self.flat[np.repeat(begin - (to - lens), lens) + np.arange(to[-1] if len(to) else 0)]
         ids[to[last] - 1] = end_id
@@ -233,5 +306,6 @@ def encoder(path: str, keep_spaces: bool) -> MemoEncoder:
     """One encoder per worker process."""
     key = (path, keep_spaces)
     if key not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[key] = MemoEncoder(path, keep_spaces, special_as_text=False)
     return _ENCODERS[key]

@@ -100,10 +100,12 @@ def test_wavelet_round_trip(spark, docs, clashing, empty, tmp_path):
 
 
 def check_packing(rows, expect, width):
-    for start in {r["sequence_id"] for r in rows}:
-        own = sorted((r["offset"], r["length"]) for r in rows if r["sequence_id"] == start)
+    sequences = {}
+    for sequence, offset, length in ((r["sequence_id"], r["offset"], r["length"]) for r in rows):
+        sequences.setdefault(sequence, []).append((offset, length))
+    for own in sequences.values():
         at = 0
-        for offset, length in own:
+        for offset, length in sorted(own):
             assert offset == at
             at += length
         assert at == width or at & (at - 1) == 0 and at < width
