@@ -76,10 +76,11 @@ def op9_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_nra_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # floor() turns NaN and infinity into whole numbers, so they become null first
+    # floor() turns NaN and infinity into whole numbers, so they become null first; it
+    # also ends at the range of a long, but doubles from 2^53 on are whole already
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.expr(
-        "transform(embedding, x -> if(isnan(x) or abs(x) = double('infinity'), null, "
-        "floor(256 * cast(x as double)) + 0d))").alias("v"))
+        "transform(transform(embedding, x -> 256 * cast(x as double)), y -> if(isnan(y) or abs(y) = double('infinity'), "
+        "null, if(abs(y) < 9007199254740992d, floor(y) + 0d, y)))").alias("v"))
     found = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
@@ -161,7 +162,8 @@ def _runs_sql(longest: int = 1 << 17) -> str:
         length *= 2
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_crc32_sql("CAST(doc_id AS VARCHAR)")} AS h,
-    regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+    regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents),
 a AS (SELECT rid, doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a,
     h // 10 % 8 AS g FROM d),
 t AS (SELECT rid, i, CASE WHEN i >= a THEN w[a + (i - a) % (1 + (n - a) // (3 + g)) + 1] ELSE w[i + 1] END AS w

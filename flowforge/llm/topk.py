@@ -8,8 +8,11 @@ bottom where it is negative). Lists are read in step; what has been read gives
 every candidate a lower and an upper score bound (an unread value lies between
 the list's far end and the last value read). A query stops when no outsider's
 upper bound reaches its k-th lower bound; the scores of the candidates left are
-then resolved and ranked. Integer arithmetic in doubles is exact here (scores
-stay far below 2^53; checked).
+then resolved and ranked. Integer arithmetic in doubles is exact while a score
+stays below 2^53 by the largest components of its two vectors; vectors with
+larger ones are left out of the lists and scored in 64-bit or, where that could
+overflow, unbounded integers. A score beyond the range of a long counts as the
+end of that range.
 
 Vectors that are null or hold null or non-finite components take no part, nor
 do rows with a null id; vectors whose length differs from the query's are not
@@ -80,6 +83,16 @@ def tile_top_k(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray,
         depth = min(n, int(depth * step) + 1)
 
 
+def whole_scores(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of rows of whole numbers with ``q``, exact and cut to the
+    range of a long."""
+    if float(np.abs(x).max()) * float(np.abs(q).max()) * len(q) < 2.0 ** 62:
+        return x.astype(np.int64) @ q.astype(np.int64)
+    ends = np.iinfo(np.int64)
+    factors = [int(c) for c in q]
+    return np.array([min(max(sum(int(a) * b for a, b in zip(row, factors)), ends.min), ends.max) for row in x], np.int64)
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, tile: int = TILE, block: int = BLOCK) -> DataFrame:
     """Both inputs: vec_id, v (array of whole numbers as double). Returns
     query_id, rank, vec_id, score."""
@@ -87,7 +100,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, tile: int = TILE,
 
     def usable(df: DataFrame) -> DataFrame:
         ok = F.expr("vec_id is not null and v is not null and size(v) > 0 and "
-                    "forall(v, c -> c is not null and not isnan(c) and abs(c) < 1e300)")
+                    "forall(v, c -> c is not null and not isnan(c) and abs(c) < double('infinity'))")
         return df.select(F.col("vec_id").cast("long"), "v").where(ok)
 
     vectors, queries = usable(vectors), usable(queries)
@@ -114,11 +127,20 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, tile: int = TILE,
             if not len(cs):
                 continue
             x, y = np.stack(cs["v"]).astype(float), np.stack(qs["v"]).astype(float)
-            if float(np.abs(x).max()) * float(np.abs(y).max()) * size >= 2.0 ** 53:
-                raise ValueError("scores would not be exact")
-            ids = qs["vec_id"].to_numpy()
-            for i, found, score in tile_top_k(x, cs["vec_id"].to_numpy(), y, ids, k):
-                out.append(pd.DataFrame({"query_id": ids[i], "vec_id": found, "score": score.astype(np.int64)}))
+            ids, others = qs["vec_id"].to_numpy(), cs["vec_id"].to_numpy()
+            most = (2.0 ** 53 / size) ** 0.5
+            near_x, near_y = np.abs(x).max(1) < most, np.abs(y).max(1) < most
+            if near_x.any() and near_y.any():
+                mine = ids[near_y]
+                for i, found, score in tile_top_k(x[near_x], others[near_x], y[near_y], mine, k):
+                    out.append(pd.DataFrame({"query_id": mine[i], "vec_id": found, "score": score.astype(np.int64)}))
+            for i in range(len(y)):
+                rest = ~near_x if near_y[i] else np.ones(len(x), bool)
+                rest &= others != ids[i]
+                if rest.any():
+                    score, found = whole_scores(x[rest], y[i]), others[rest]
+                    top = np.lexsort((found, ~score))[:k]  # ~s orders as -s, without overflow
+                    out.append(pd.DataFrame({"query_id": ids[i], "vec_id": found[top], "score": score[top]}))
         return pd.concat(out)[cols] if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in cols})
 
     found = left.cogroup(right).applyInPandas(best, "query_id bigint, vec_id bigint, score bigint")
