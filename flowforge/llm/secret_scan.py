@@ -21,8 +21,10 @@ from __future__ import annotations
 import math
 import re
 from array import array
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -264,11 +266,23 @@ def flow_spans(text: str, least: float = 0.5) -> list[tuple[int, str, int]]:
     found = literals(text, least, _TOKEN)
     if '\\"' in text or "\\'" in text:
         # a path that ends in a backslash must not hide what follows it
-        found |= {p for p in literals(text, least, _PLAIN_TOKEN)
-                  if not any(p[0] < b and a < p[1] for a, b in found)}
+        found |= apart(literals(text, least, _PLAIN_TOKEN), found)
     return [(a, "flow", b) for a, b in found]
 
 
+def apart(new: set[tuple[int, int]], old: set[tuple[int, int]]) -> set[tuple[int, int]]:
+    """The new spans that meet no old one."""
+    spans = sorted(old)
+    starts = [a for a, _ in spans]
+    reach = list(accumulate((b for _, b in spans), max))  # the furthest end so far
+    out = set()
+    for a, b in new:
+        i = bisect_left(starts, b)
+        if not i or reach[i - 1] <= a:
+            out.add((a, b))
+    return out
+
+
 def literals(text: str, least: float, token: re.Pattern) -> set[tuple[int, int]]:
     known: dict[str, list[tuple[int, int]]] = {}
     found: set[tuple[int, int]] = set()
@@ -289,6 +303,8 @@ def literals(text: str, least: float, token: re.Pattern) -> set[tuple[int, int]]
                     parts, end = lexed.value(at, start, known)
                     if parts:
                         done = max(done, end)
+                        # a span counts once, so a name never has more than the text
+                        parts = list(dict.fromkeys(parts))
                         known[full] = known[name] = parts
                         if weight and weight * literal_score("".join(text[a:b] for a, b in parts)) >= least:
                             found.update(p for p in parts if p[0] < p[1])
