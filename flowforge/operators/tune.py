@@ -160,29 +160,35 @@ def refit_best(family: str, task: str, train: DataFrame, test: DataFrame, classe
     return m, weighted_f1(m, test, label_col)
 
 
+def best_of_search(family: str, tune: DataFrame, classes: list[int], task: str = "multi", n_iter: int = 15,
+                   k: int = 3, seed: int = 42, parallelism: int = 4) -> dict:
+    """Seeded random search with stratified k-fold CV on the tuning rows: the
+    best parameters, their mean fold score and the seconds of the search."""
+    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
+    cands = sample_params(param_space(tune.sparkSession, family), n_iter, seed)
+    folds = stratified_folds(tune, k, label_col).persist()
+    t0 = time.time()
+    with ThreadPoolExecutor(max(1, parallelism)) as ex:
+        scores = list(ex.map(lambda p: cross_validate(family, task, folds, label_col, classes, p, k), cands))
+    secs = time.time() - t0
+    folds.unpersist()
+    best = max(range(len(cands)), key=lambda i: (scores[i], -i))
+    return {"params": cands[best], "cv_f1": scores[best], "seconds": secs}
+
+
 def random_search_cv(family: str, train: DataFrame, test: DataFrame, classes: list[int],
                      task: str = "multi", n_iter: int = 15, k: int = 3, seed: int = 42,
                      tune_rows: DataFrame | None = None, parallelism: int = 4) -> dict:
     """Untuned baseline (defaults, on the tuning rows), seeded random search
     with stratified k-fold CV, refit of the best on the full train split,
     test scores. Returns the report fields."""
-    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
     tune = tune_rows if tune_rows is not None else train
-    spark = train.sparkSession
     _, original_f1 = untuned_baseline(family, task, tune, test, classes)
-    cands = sample_params(param_space(spark, family), n_iter, seed)
-    folds = stratified_folds(tune, k, label_col).persist()
-    t0 = time.time()
-    with ThreadPoolExecutor(max(1, parallelism)) as ex:
-        scores = list(ex.map(lambda p: cross_validate(family, task, folds, label_col, classes, p, k), cands))
-    search_secs = time.time() - t0
-    folds.unpersist()
-    best_i = max(range(len(cands)), key=lambda i: (scores[i], -i))
-    best = cands[best_i]
-    refit, tuned_f1 = refit_best(family, task, train, test, classes, best)
+    best = best_of_search(family, tune, classes, task, n_iter, k, seed, parallelism)
+    refit, tuned_f1 = refit_best(family, task, train, test, classes, best["params"])
     return {"model_name": family, "original_f1": original_f1, "tuned_f1": tuned_f1,
-            "best_cv_f1": scores[best_i], "best_params": {k2: json.dumps(v) for k2, v in best.items()},
-            "search_time_sec": search_secs, "model": refit}
+            "best_cv_f1": best["cv_f1"], "best_params": {k2: json.dumps(v) for k2, v in best["params"].items()},
+            "search_time_sec": best["seconds"], "model": refit}
 
 
 def tuning_report(rows: DataFrame) -> DataFrame:
