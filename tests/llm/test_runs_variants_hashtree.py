@@ -244,3 +244,17 @@ def test_written_shards(spark, docs, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/shards")
     assert sorted(map(str, back.select(*docs.columns, "shard").collect())) == \
         sorted(map(str, hashtree.place(docs, tree).select(*docs.columns, "shard").collect()))
+
+
+@pytest.mark.parametrize("name", ["op11_periodic_runs", "op12_spelling_variants", "op13_hash_tree"])
+def test_queries_agree_with_their_sql(spark, name):
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    got = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = con.execute(queries.ORACLE_SQL[name])
+    names = sorted(got.columns)
+    assert sorted(c[0] for c in want.description) == names
+    order = [[c[0] for c in want.description].index(n) for n in names]
+    assert sorted(map(str, (tuple(r) for r in got.select(*names).collect()))) == \
+        sorted(str(tuple(row[i] for i in order)) for row in want.fetchall())
