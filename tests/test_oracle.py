@@ -19,7 +19,7 @@ SUBSET = ["read_flows", "inf_to_null", "drop_duplicate_rows", "cleaning_audit",
           "roc_curve", "metrics_row", "metrics_long", "build_alerts", "alert_feed",
           "top_class_probabilities", "linear_attribution", "local_explanations", "tuning_report",
           "read_flows_csv", "read_encoding_fallback", "source_inventory", "write_dataset", "export_csv",
-          "stratified_cap", "split_xy", "task_class_weights", "model_store"]
+          "stratified_cap", "split_xy", "task_class_weights", "model_store", "skip_bad_file", "score_partial_record"]
 
 
 @pytest.fixture(scope="module")
