@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowforge.session import materialise
+
 
 def bucketed_rank(df: DataFrame, part_cols: list[str], order_cols: list[str],
                   bucket: Column, rank_col: str = "_rank", size_col: str = "_n",
@@ -70,11 +72,22 @@ def quantile_bucket(df: DataFrame, col: str, n_buckets: int = 256,
     return F.size(F.filter(arr, lambda b: b < x))
 
 
-def global_row_number(df: DataFrame, order_col: str, rank_col: str = "_rank",
-                      size_col: str = "_n", n_buckets: int = 256) -> DataFrame:
-    """Exact 1-based numbering of all rows by a numeric ``order_col``."""
-    return bucketed_rank(df, [], [order_col], quantile_bucket(df, order_col, n_buckets),
-                         rank_col=rank_col, size_col=size_col)
+def ranged(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows, written once, with ``_range``: ordered ranges of the composite key."""
+    return materialise(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()), "ranged")
+
+
+def global_row_number(df: DataFrame, order_cols: str | list[str], rank_col: str = "_rank",
+                      size_col: str = "_n") -> DataFrame:
+    """Exact 1-based numbering of all rows by ``order_cols`` (nulls first).
+
+    Ranges are cut over the whole composite key, so rows that share the first
+    column's value spread over ranges by the next ones; as many ranges as the
+    session has shuffle partitions, fewer for few bytes (AQE). The ranged rows are written once, because
+    range boundaries come from a sample: counts and numbers must see the same
+    ranges. Only rows equal in every order column are bound to share a range."""
+    keys = [order_cols] if isinstance(order_cols, str) else list(order_cols)
+    return bucketed_rank(ranged(df, keys), [], keys, F.col("_range"), rank_col=rank_col, size_col=size_col).drop("_range")
 
 
 def bucketed_cumsum(df: DataFrame, part_cols: list[str], order_col: str, bucket: Column,

@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowforge.functions.quantiles import exact_quantiles, quantile_wide
 from flowforge.functions.sequence import global_row_number
@@ -34,19 +35,23 @@ def validate_features(df: DataFrame, required: list[str]) -> None:
 
 def score_flows(df: DataFrame, model, features: list[str], mapping: DataFrame,
                 scaler: dict[str, tuple[float, float]] | None = None,
-                reject_invalid: bool = True) -> tuple[DataFrame, DataFrame]:
+                reject_invalid: bool = True, must_have: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Select features, scale, predict; adds Predicted, Confidence (% 1 dp)
     and Status to the input columns. Rows with null/NaN/inf features cannot
-    be scored (the reference crashes on them): they go to the second frame.
+    be scored (the reference crashes on them): they go to the second frame, as
+    do rows with a null in a ``must_have`` column.
 
     ``model`` is a fitted Spark ML model with ``featuresCol='features'`` that
     outputs ``prediction`` and ``probability``."""
     from pyspark.ml.feature import VectorAssembler
-    from flowforge.operators.clean import _row_is_complete, inf_to_null
     validate_features(df, features)
     d = df.toDF(*[c.strip() for c in df.columns])
-    fx = inf_to_null(d.select(*features))
-    ok = _row_is_complete(fx)
+    ok = F.lit(True)
+    for c in must_have:
+        ok = ok & F.col(f"`{c}`").isNotNull()
+    for c in features:
+        x = F.col(f"`{c}`").cast("double")
+        ok = ok & x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     base = d.withColumn("_ok", ok if reject_invalid else F.lit(True))
     for c in features:
         x = F.col(f"`{c}`").cast("double")
@@ -136,15 +141,19 @@ def severity_counts(alerts: DataFrame) -> DataFrame:
 
 
 def build_alerts(attacks: DataFrame, order_col: str = "flow_id", type_col: str = "attack_type",
-                 conf_col: str = "confidence", base_ts: dt.datetime | None = None) -> DataFrame:
-    """Alert ID ``ALT-%05d`` numbered in row order (by ``order_col``) over the
+                 conf_col: str = "confidence", base_ts: dt.datetime | None = None,
+                 tie_cols: list[str] | None = None) -> DataFrame:
+    """Alert ID ``ALT-%05d`` numbered in row order (by ``order_col``, then
+    ``tie_cols``: by default all other columns that can be ordered) over the
     attack rows; time = base + 3 s * (i - 1) with base = base_ts - floor(n/100)
     hours (base_ts is an argument: T-10). Numbering is exact and distributed
-    (bucketed offsets), not a single-partition window."""
+    (offsets of ranges over the composite key), not a single-partition window:
+    one order value that a third of the rows share spreads over ranges."""
     base = F.lit((base_ts or DEFAULT_BASE_TS).strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    # severity after the numbering: an expression on the type beside the bucket
-    # lookup fails to bind on some generated inputs
-    r = severity(global_row_number(attacks, order_col, "_i", "_n"), type_col)
+    if tie_cols is None:
+        tie_cols = [f.name for f in attacks.schema.fields if f.name != order_col
+                    and isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    r = severity(global_row_number(attacks, [order_col, *tie_cols], "_i", "_n"), type_col)
     secs = (F.col("_i") - 1) * 3 - F.floor(F.col("_n") / 100) * 3600
     return r.select(
         F.format_string("ALT-%05d", F.col("_i")).alias("alert_id"),

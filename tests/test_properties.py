@@ -184,6 +184,44 @@ def test_stream_equals_batch(spark, prepared, tmpdir_path):
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
 
 
+def test_stream_gives_a_flow_one_alert(spark, prepared, tmp_path):
+    """Copies in one file, in a later file, and long after; rows without key or
+    time and rows that cannot be scored go to the rejects."""
+    from flowforge.streaming.score_stream import score_stream
+    m = M.fit_model("DecisionTree", "multi", prepared.split("train"), "Label_Multi", prepared.classes,
+                    prepared.n_train)
+    raw = prepared.raw.where(F.col("split") == "test").select("flow_id", *prepared.cols).limit(300)
+    at = raw.withColumn("at", F.timestamp_seconds(F.col("flow_id") * 60)).toPandas().sort_values("flow_id")
+    first, second = at.iloc[:150], at.iloc[150:]
+    odd = second.head(3).copy()
+    odd["flow_id"], odd[prepared.cols[0]] = [-1, -2, -3], [float("nan"), 1.0, 1.0]
+    odd["at"] = [second["at"].iloc[0], None, second["at"].iloc[0]]
+    schema = raw.withColumn("at", F.lit(None).cast("timestamp")).schema
+
+    def arrive(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    def run():
+        score_stream(spark, f"{tmp_path}/in", schema, m, prepared.cols, prepared.mapping, prepared.scaler,
+                     f"{tmp_path}/out", f"{tmp_path}/ckpt", max_files_per_trigger=1, event_time="at",
+                     delay="30 days", rejects_dir=f"{tmp_path}/bad").awaitTermination()
+        for q in spark.streams.active:
+            q.awaitTermination()
+        rows = spark.read.parquet(f"{tmp_path}/out").groupBy("flow_id").count().collect()
+        return {r["flow_id"]: r["count"] for r in rows}
+
+    import pandas as pd
+    arrive(pd.concat([first, first.head(20)]))
+    arrive(pd.concat([second, odd, first.tail(20)]))
+    once = run()
+    assert set(once.values()) == {1} and -2 not in once and -1 not in once
+    arrive(first)  # a restarted query sees old files under new names
+    arrive(second)
+    assert run() == once
+    bad = {r["flow_id"] for r in spark.read.parquet(f"{tmp_path}/bad").collect()}
+    assert bad == {-1, -2}
+
+
 def test_run_stages_end_to_end(spark, tmpdir_path):
     from flowforge.plans.run_stages import run_stages
     paths = run_stages(spark, SF_SMALL, f"{tmpdir_path}/out", models=["DecisionTree"])

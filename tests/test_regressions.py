@@ -32,6 +32,40 @@ def test_alerts_over_generated_and_stored_rows(spark, tmp_path, stored):
     assert [r["alert_id"] for r in rows[:2]] == ["ALT-00001", "ALT-00002"] and len(rows) == 1000
 
 
+def test_a_repeated_order_value_spreads_over_ranges(spark):
+    """A third of the rows share one order value: numbers are those of one sort,
+    no range holds much more than its share."""
+    from pyspark.sql import Window
+    from flowforge.functions.sequence import ranged
+    df = spark.range(24000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise((F.col("id") * 7919) % 5000).alias("at"),
+        F.md5(F.col("id").cast("string")).alias("flow"), F.lit("Bot").alias("attack_type"), F.lit(0.5).alias("confidence"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be one
+    try:
+        sizes = [r["count"] for r in ranged(df, ["at", "flow"]).groupBy("_range").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 24000 and max(sizes) < 24000 / 8 * 1.5
+    got = SC.build_alerts(df, "at", tie_cols=["flow"])
+    assert got.select("alert_id").distinct().count() == 24000
+    order = Window.orderBy("at", "flow")
+    want = df.withColumn("alert_id", F.format_string("ALT-%05d", F.row_number().over(order))).select("alert_id", "at")
+    assert got.select("alert_id", "at").exceptAll(want).count() == 0
+
+
+def test_infinite_features_are_rejected(spark):
+    class Same:
+        def transform(self, df):
+            from pyspark.ml.functions import array_to_vector
+            return df.withColumn("prediction", F.lit(0.0)).withColumn("probability", array_to_vector(F.array(F.lit(1.0))))
+
+    df = spark.createDataFrame([(1, 1.0), (2, float("inf")), (3, float("nan")), (4, None), (None, 2.0)], "flow_id int, a double")
+    names = spark.createDataFrame([(0, "BENIGN", 1)], "code int, label string, count long")
+    good, bad = SC.score_flows(df, Same(), ["a"], names, must_have=("flow_id",))
+    assert [r["flow_id"] for r in good.collect()] == [1]
+    assert {r["flow_id"] for r in bad.collect()} == {2, 3, 4, None} and bad.columns == df.columns
+
+
 def test_undecodable_class_is_an_attack_everywhere(spark):
     df = spark.createDataFrame([(1, "BENIGN"), (2, None), (3, "Bot")], "flow_id int, Predicted string")
     assert sorted(r["flow_id"] for r in SC.detect_attacks(df).collect()) == [2, 3]
