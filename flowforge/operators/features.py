@@ -1,6 +1,8 @@
 """Feature selection: population-variance filter, target
 correlation, pairwise correlation filter, stratified cap, forest importance,
-projection and the selection funnel.
+projection and the selection funnel. Variances and both kinds of correlation
+are read from one moment table (``selection_moments``), one pass over the rows;
+each function takes it as ``m`` or makes its own.
 
 The per-feature statistics are small (one row per feature); the driver reads
 them only to decide which columns the next plan selects, as any fitted
@@ -14,9 +16,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowforge.functions.expr import hash_order
+from flowforge.functions.expr import bounded_lookup, hash_order
 from flowforge.functions.sequence import bucketed_rank, md5_bucket
-from flowforge.operators.profile import correlation_long, feature_columns, per_feature_stats
+from flowforge.operators.moments import correlations, moment_table, variances
+from flowforge.operators.profile import feature_columns
+from flowforge.session import materialise
 
 LABELS = ["Label", "Label_Binary", "Label_Multi"]
 
@@ -25,45 +29,56 @@ def numeric_features(df: DataFrame, key: str | None = "flow_id") -> list[str]:
     return feature_columns(df, key=key)
 
 
-def variance_table(df: DataFrame, cols: list[str], threshold: float = 0.01) -> DataFrame:
+def selection_moments(df: DataFrame, cols: list[str], target: str | None = "Label_Binary") -> DataFrame:
+    """Moments of all pairs of ``cols`` and the target, written once."""
+    more = [target] if target in df.columns else []
+    return materialise(moment_table(df, [*cols, *more]), "moments")
+
+
+def variance_table(df: DataFrame, cols: list[str], threshold: float = 0.01,
+                   m: DataFrame | None = None) -> DataFrame:
     """(pos, feature, variance, kept): population variance > threshold keeps."""
-    v = per_feature_stats(df, cols, {"variance": F.var_pop})
-    return v.withColumn("kept", F.col("variance") > F.lit(threshold))
+    v = variances(m if m is not None else moment_table(df, cols)).select("feature", "variance")
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "pos int, feature string")
+    return names.join(v, "feature", "left").select("pos", "feature", "variance",
+                                                   (F.col("variance") > F.lit(threshold)).alias("kept"))
 
 
-def variance_filter(df: DataFrame, threshold: float = 0.01, cols: list[str] | None = None):
+def variance_filter(df: DataFrame, threshold: float = 0.01, cols: list[str] | None = None,
+                    m: DataFrame | None = None):
     """Returns (df without removed columns, removed list)."""
     cols = cols or numeric_features(df)
-    rows = variance_table(df, cols, threshold).orderBy("pos").collect()
+    rows = variance_table(df, cols, threshold, m).orderBy("pos").collect()
     removed = [r["feature"] for r in rows if not r["kept"]]
     return df.drop(*removed), removed
 
 
-def _guarded_corr(a, b):
-    """corr(a, b), null when either side is constant (T-11: Spark's ``corr``
-    raises DIVIDE_BY_ZERO under ANSI)."""
-    return F.try_divide(F.covar_samp(a, b), F.stddev_samp(a) * F.stddev_samp(b))
-
-
-def target_correlation(df: DataFrame, cols: list[str] | None = None,
-                       target: str = "Label_Binary") -> DataFrame:
-    """(pos, feature, target_corr = |corr(feature, target)|) in one pass."""
+def target_correlation(df: DataFrame, cols: list[str] | None = None, target: str = "Label_Binary",
+                       m: DataFrame | None = None) -> DataFrame:
+    """(pos, feature, target_corr = |corr(feature, target)|); null for a
+    constant feature (T-11)."""
     cols = cols or numeric_features(df)
-    t = F.col(target).cast("double")
-    return per_feature_stats(df, cols, {"target_corr": lambda c: F.abs(_guarded_corr(c.cast("double"), t))})
+    r = correlations(m if m is not None else selection_moments(df, cols, target))
+    t = r.where((F.col("feature_j") == target) & (F.col("feature_i") != target)).select(
+        F.col("feature_i").alias("feature"), F.abs("r").alias("target_corr"))
+    names = df.sparkSession.createDataFrame(list(enumerate(cols)), "pos int, feature string")
+    return names.join(t, "feature", "left").select("pos", "feature", "target_corr")
 
 
 def correlation_drops(df: DataFrame, cols: list[str], threshold: float = 0.95,
-                      target: str | None = "Label_Binary") -> DataFrame:
+                      target: str | None = "Label_Binary", m: DataFrame | None = None) -> DataFrame:
     """Features dropped by the pairwise filter: for each pair i < j (column
     order) with |r| > threshold drop i when |t_j| >= |t_i| else j; no target
     -> drop i. Pairs are judged independently; the result is a set."""
-    long = correlation_long(df, cols)
-    pairs = long.where((F.col("pos_i") < F.col("pos_j")) & (F.abs("r") > F.lit(threshold)))
-    if target is None or target not in df.columns:
+    has_target = target is not None and target in df.columns
+    m = m if m is not None else selection_moments(df, cols, target)
+    r = correlations(m)
+    pairs = r.where((F.col("pos_i") < F.col("pos_j")) & F.col("feature_i").isin(cols)
+                    & F.col("feature_j").isin(cols) & (F.abs("r") > F.lit(threshold)))
+    if not has_target:
         drop = pairs.select(F.col("feature_i").alias("feature"))
     else:
-        tc = target_correlation(df, cols, target).select("feature", "target_corr")
+        tc = bounded_lookup(target_correlation(df, cols, target, m))
         ti = tc.select(F.col("feature").alias("feature_i"), F.col("target_corr").alias("_ti"))
         tj = tc.select(F.col("feature").alias("feature_j"), F.col("target_corr").alias("_tj"))
         p = pairs.join(ti, "feature_i").join(tj, "feature_j")
@@ -73,9 +88,9 @@ def correlation_drops(df: DataFrame, cols: list[str], threshold: float = 0.95,
 
 
 def correlation_filter(df: DataFrame, threshold: float = 0.95, cols: list[str] | None = None,
-                       target: str | None = "Label_Binary"):
+                       target: str | None = "Label_Binary", m: DataFrame | None = None):
     cols = cols or numeric_features(df)
-    removed = sorted(r["feature"] for r in correlation_drops(df, cols, threshold, target).collect())
+    removed = sorted(r["feature"] for r in correlation_drops(df, cols, threshold, target, m).collect())
     return df.drop(*removed), removed
 
 

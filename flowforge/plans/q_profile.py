@@ -192,21 +192,24 @@ WHERE m.pos_i < m.pos_j AND abs(m.r) > {th}"""
 
 
 def _after_variance(spark, sf):
+    """Rows and features after the variance filter, and the moments of all
+    features (one pass over the rows serves every statistic of the family)."""
     c = cleaned(spark, sf)
-    d, _ = FE.variance_filter(c, 0.01, FEAT)
-    return d, [f for f in FEAT if f in d.columns]
+    m = FE.selection_moments(c, FEAT)
+    d, _ = FE.variance_filter(c, 0.01, FEAT, m)
+    return d, [f for f in FEAT if f in d.columns], m
 
 
 @register("correlation_filter", _sql_corr_filter(0.95))
 def q_correlation_filter(spark, sf):
-    d, cols = _after_variance(spark, sf)
-    return FE.correlation_drops(d, cols, 0.95)
+    d, cols, m = _after_variance(spark, sf)
+    return FE.correlation_drops(d, cols, 0.95, m=m)
 
 
 @register("correlation_filter_068", _sql_corr_filter(0.68))
 def q_correlation_filter_068(spark, sf):
-    d, cols = _after_variance(spark, sf)
-    return FE.correlation_drops(d, cols, 0.68)
+    d, cols, m = _after_variance(spark, sf)
+    return FE.correlation_drops(d, cols, 0.68, m=m)
 
 
 @register("stratified_cap", S.sql_cleaned(False, """rk AS (SELECT *,
@@ -221,8 +224,8 @@ def q_stratified_cap(spark, sf):
 @register("project_selected", S.sql_cleaned() +
           "SELECT flow_id, " + ", ".join(KEPT) + ", Label, Label_Binary, Label_Multi FROM cleaned")
 def q_project_selected(spark, sf):
-    d, cols = _after_variance(spark, sf)
-    d2, _ = FE.correlation_filter(d, 0.95, cols)
+    d, cols, m = _after_variance(spark, sf)
+    d2, _ = FE.correlation_filter(d, 0.95, cols, m=m)
     return FE.project_selected(d2, [c for c in cols if c in d2.columns])
 
 
@@ -232,10 +235,8 @@ UNION ALL SELECT 1, 'after_variance', n1, n0 - n1 FROM cnt
 UNION ALL SELECT 2, 'after_correlation', n1, 0 FROM cnt
 UNION ALL SELECT 3, 'final', least(30, n1), n1 - least(30, n1) FROM cnt""")
 def q_selection_funnel(spark, sf):
-    c = cleaned(spark, sf)
-    d, removed_v = FE.variance_filter(c, 0.01, FEAT)
-    cols = [f for f in FEAT if f in d.columns]
-    d2, removed_c = FE.correlation_filter(d, 0.95, cols)
+    d, cols, m = _after_variance(spark, sf)
+    d2, removed_c = FE.correlation_filter(d, 0.95, cols, m=m)
     n2 = len(cols) - len(removed_c)
     return FE.selection_funnel(len(FEAT), len(cols), n2, min(30, n2), spark)
 
@@ -245,7 +246,7 @@ def q_selection_funnel(spark, sf):
 def q_importance_topk(spark, sf):
     """Forest importances of all features, held against what importances must
     obey: in [0, 1], ranked downwards, one in sum."""
-    d, cols = _after_variance(spark, sf)
+    d, cols, _ = _after_variance(spark, sf)
     top = FE.importance_topk(d, cols, "Label_Multi", k=30, num_trees=100, max_depth=20)
     by_rank = Window.orderBy("rank")  # at most k rows
     total = F.sum("importance").over(Window.partitionBy())

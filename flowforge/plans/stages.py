@@ -57,9 +57,10 @@ def final_dataset(spark: SparkSession, sf_dir: str, k: int = 30, forest_rows: in
     from flowforge.operators import features as FE
     c = data if data is not None else materialise(cleaned(spark, sf_dir), "cleaned")
     cols = FE.numeric_features(c)
-    d, _ = FE.variance_filter(c, 0.01, cols)
+    m = FE.selection_moments(c, cols)
+    d, _ = FE.variance_filter(c, 0.01, cols, m)
     cols = [x for x in cols if x in d.columns]
-    d, _ = FE.correlation_filter(d, 0.95, cols)
+    d, _ = FE.correlation_filter(d, 0.95, cols, m=m)
     cols = [x for x in cols if x in d.columns]
     if len(cols) > k:
         top = FE.importance_topk(FE.stratified_cap(d, forest_rows), cols, "Label_Multi", k)
