@@ -2,10 +2,10 @@
 
 * ``linear_attribution`` — closed form coef * (x - mean(background)).
 * ``shapley_attribution`` — model-agnostic sampled Shapley values (re-aim of
-  the reference's per-row tree explainer): every explained row x every
-  permutation x (d + 1) hybrid rows is one Spark row, all scored by one
-  ``model.transform``; neighbouring hybrids differ in one feature, so the
-  differences telescope to f(x) - f(background) exactly per permutation.
+  the reference's per-row tree explainer): every explained row x every order x
+  (d + 1) hybrid rows is one Spark row, all scored by one ``model.transform``
+  for every class at once; neighbouring hybrids differ in one feature, so the
+  differences telescope to f(x) - f(background) exactly per order.
 """
 
 from __future__ import annotations
@@ -17,7 +17,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from flowforge.functions.expr import bounded_lookup
 from flowforge.operators.profile import sample_rows
+from flowforge.session import materialise
+
+MOST_BACKGROUND = 10_000
+BASE = -1
 
 
 def explain_sample(test: DataFrame, n: int = 500, key: str = "flow_id", seed: int = 42) -> DataFrame:
@@ -48,58 +53,115 @@ def linear_attribution(rows: DataFrame, coef: DataFrame, bg_mean: DataFrame, key
                     (F.col("coef") * (F.col("value") - F.col("mean"))).alias("attribution")))
 
 
-def _perm_positions(cols: list[str], n_perm: int, seed: int) -> list[list[int]]:
-    """Deterministic permutations: position of each feature per permutation."""
+def _orders(cols: list[str], first: int, n: int, seed: int) -> list[list[int]]:
+    """Places of the features in each of ``n`` deterministic orders from the
+    ``first`` on; every order is followed by its reverse (an antithetic pair)."""
     out = []
-    for m in range(n_perm):
+    for m in range(first, first + n):
         order = sorted(range(len(cols)), key=lambda i: hashlib.md5(f"{seed}|{m}|{cols[i]}".encode()).hexdigest())
         pos = [0] * len(cols)
         for p, i in enumerate(order):
             pos[i] = p
-        out.append(pos)
+        out += [pos, [len(cols) - 1 - p for p in pos]]
     return out
 
 
-def shapley_attribution(model, rows: DataFrame, background: DataFrame, cols: list[str],
-                        n_perm: int = 20, key: str = "flow_id", seed: int = 42,
-                        target: str = "prediction") -> DataFrame:
-    """Sampled Shapley values of P(target class) for each explained row:
-    (key, class_id, feature, value, attribution). ``target`` = "prediction"
-    explains the class the model predicts for the row.
+def _pair_deltas(model, x: DataFrame, bg: DataFrame, n_bg: int, cols: list[str], classes: int, first: int,
+                 n_pairs: int, key: str, seed: int) -> DataFrame:
+    """(key, _p pair, _f place of the feature, d0 .. per class): what the
+    feature adds to each class's score, mean of the two orders of the pair; the
+    scores of the background row itself stand at place BASE.
 
-    ``background`` is a bounded sample (e.g. 100 rows) and is broadcast;
-    the explained rows are partitioned by key; work = rows x n_perm x (d+1)."""
+    The hybrid of a row and its background row that takes the first k features
+    of an order from the row adds its scores to the feature at place k - 1 and
+    takes them from the one at place k; those signed terms are summed map-side
+    (all hybrids of a row are made in one task)."""
     d = len(cols)
-    vec_cols = [F.col(c).cast("double").alias(c) for c in cols]
-    x = rows.select(key, *vec_cols)
-    # target class = model's prediction on the row itself
-    xp = model.transform(VectorAssembler(inputCols=cols, outputCol="features").transform(x))
-    x = xp.select(key, *cols, F.col("prediction").cast("int").alias("class_id"))
-    bg = background.select(*vec_cols)
-    n_bg_rows = bg.count()  # bounded sample size
-    bg = bg.withColumn("_b", F.row_number().over(Window.orderBy(*cols)) - 1)
-    pos = _perm_positions(cols, n_perm, seed)
-    pos_arr = F.array(*[F.array(*[F.lit(v) for v in p]) for p in pos])
-    e = (x.withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-         .withColumn("_b", F.pmod(F.xxhash64(F.col(key), F.col("_m"), F.lit(seed)), F.lit(n_bg_rows))))
-    e = e.join(F.broadcast(bg.select("_b", *[F.col(c).alias(f"_bg_{c}") for c in cols])), "_b")
-    e = e.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(d))))
-    posm = F.element_at(pos_arr, F.col("_m") + 1)
-    hybrid = [F.when(F.element_at(posm, i + 1) < F.col("_k"), F.col(c)).otherwise(F.col(f"_bg_{c}")).alias(f"_h_{c}")
+    orders = F.array(*[F.array(*[F.lit(v) for v in p]) for p in _orders(cols, first, n_pairs, seed)])
+    start = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(n_bg))
+    e = (x.withColumn("_p", F.explode(F.sequence(F.lit(first), F.lit(first + n_pairs - 1))))
+         .withColumn("_b", F.pmod(start + F.col("_p"), F.lit(n_bg)))  # a pair shares a background row
+         .join(bounded_lookup(bg, MOST_BACKGROUND), "_b"))
+    e = (e.withColumn("_s", F.explode(F.array(F.lit(0), F.lit(1))))
+         .withColumn("_at", F.element_at(orders, (F.col("_p") - first) * 2 + F.col("_s") + 1))
+         .withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(d)))))
+    hybrid = [F.when(F.element_at("_at", i + 1) < F.col("_k"), F.col(c)).otherwise(F.col(f"_bg_{c}")).alias(f"_h_{c}")
               for i, c in enumerate(cols)]
-    h = e.select(key, "class_id", "_m", "_k", *hybrid)
     scored = model.transform(VectorAssembler(inputCols=[f"_h_{c}" for c in cols], outputCol="features")
-                             .transform(h))
-    f = scored.select(key, "class_id", "_m", "_k",
-                      F.element_at(vector_to_array("probability"), F.col("class_id") + 1).alias("_f"))
-    w = Window.partitionBy(key, "_m").orderBy("_k")  # d + 1 rows per group
-    diff = f.withColumn("_delta", F.lead("_f").over(w) - F.col("_f")).where(F.col("_k") < d)
-    # the feature at position _k of permutation _m
-    feat_at = F.array(*[F.array(*[F.lit(cols[i]) for i in sorted(range(d), key=lambda i: p[i])]) for p in pos])
-    diff = diff.withColumn("feature", F.element_at(F.element_at(feat_at, F.col("_m") + 1), F.col("_k") + 1))
-    att = diff.groupBy(key, "class_id", "feature").agg(F.avg("_delta").alias("attribution"))
-    vals = to_long(rows.select(key, *cols), cols, key)
-    return att.join(vals, [key, "feature"]).select(key, "class_id", "feature", "value", "attribution")
+                             .transform(e.select(key, "_p", "_k", "_at", *hybrid)))
+    def place(k) -> F.Column:
+        return (F.nullif(F.array_position("_at", k), F.lit(0)) - 1).cast("int")
+
+    signed = F.explode(F.filter(F.array(
+        F.struct(place(F.col("_k") - 1).alias("f"), F.lit(0.5).alias("w")),
+        F.struct(place(F.col("_k")).alias("f"), F.lit(-0.5).alias("w")),
+        F.struct(F.when(F.col("_k") == 0, BASE).alias("f"), F.lit(0.5).alias("w"))),
+        lambda t: t["f"].isNotNull()))
+    t = scored.select(key, "_p", vector_to_array("probability").alias("_q"), signed.alias("_t"))
+    return t.groupBy(key, "_p", F.col("_t.f").alias("_f")).agg(
+        *[F.sum(F.col("_t.w") * F.element_at("_q", c + 1)).alias(f"d{c}") for c in range(classes)])
+
+
+def shapley_attribution(model, rows: DataFrame, background: DataFrame, cols: list[str],
+                        n_perm: int = 20, key: str = "flow_id", seed: int = 42,
+                        tolerance: float | None = None, max_perm: int | None = None) -> DataFrame:
+    """Sampled Shapley values of every class's probability for each explained
+    row: (key, class_id, feature, value, attribution, std_error, base, score).
+    The attributions of a row and class sum to score - base, where ``score`` is
+    the model's on the row and ``base`` its mean on the background rows that
+    were used.
+
+    Orders come in antithetic pairs; ``std_error`` is that of the mean over
+    pairs (null for one pair). With ``tolerance`` the number of orders doubles
+    for the rows that still have a larger error, up to ``max_perm`` orders
+    (default: 8 times ``n_perm``). ``background`` is a sample of at most
+    MOST_BACKGROUND rows (more: ValueError) and is broadcast; work = rows x
+    orders x (features + 1) scored hybrids, partitioned by key. Keys must be
+    distinct and not null. No rows or an empty background: no attributions."""
+    spark = rows.sparkSession
+    d = len(cols)
+    x = rows.select(key, *[F.col(c).cast("double").alias(c) for c in cols])
+    held = background.select(*[F.col(c).cast("double").alias(f"_bg_{c}") for c in cols]).limit(MOST_BACKGROUND + 1).collect()
+    if len(held) > MOST_BACKGROUND:
+        raise ValueError(f"more than {MOST_BACKGROUND} background rows: take a sample")
+    # in hash order: neighbours of a sorted sample are alike, and pairs take consecutive rows
+    held = sorted((tuple(r) for r in held), key=lambda r: hashlib.md5(f"{seed}|{r}".encode()).hexdigest())
+    bg = spark.createDataFrame([(i, *r) for i, r in enumerate(held)],
+                               "_b long, " + ", ".join(f"`_bg_{c}` double" for c in cols))
+    vec = VectorAssembler(inputCols=cols, outputCol="features")
+    fx = model.transform(vec.transform(x)).select(key, vector_to_array("probability").alias("_fx"))
+    some = fx.head()
+    if some is None or not held:
+        kinds = {"class_id": "int", "feature": "string", "value": "double", "attribution": "double",
+                 "std_error": "double", "base": "double", "score": "double"}
+        return rows.limit(0).select(key, *[F.lit(None).cast(t).alias(n) for n, t in kinds.items()])
+    classes = len(some["_fx"])
+    pairs, most = max(n_perm // 2, 1), max((max_perm or 8 * n_perm) // 2, 1)
+    parts, first, todo = None, 0, x
+    while True:
+        new = materialise(_pair_deltas(model, todo, bg, len(held), cols, classes, first, pairs, key, seed), "shapley")
+        parts = new if parts is None else parts.unionByName(new)
+        first += pairs
+        errors = [F.stddev_samp(f"d{c}") / F.sqrt(F.count(F.lit(1))) for c in range(classes)]
+        att = parts.groupBy(key, "_f").agg(F.count(F.lit(1)).alias("_n"), *[
+            F.struct(F.avg(f"d{c}").alias("a"), errors[c].alias("e")).alias(f"v{c}") for c in range(classes)])
+        if tolerance is None or first >= most:
+            break
+        worst = F.greatest(F.lit(0.0), *[F.col(f"v{c}.e") for c in range(classes)])
+        open_ = att.where((F.col("_f") != BASE) & ((worst > tolerance) | F.col("v0.e").isNull())).select(key).distinct()
+        todo = materialise(x.join(open_, key, "left_semi"), "shapley-open")
+        if todo.isEmpty():
+            break
+        pairs = min(first, most - first)
+    names = F.array(*[F.lit(c) for c in cols])
+    per_class = F.array(*[F.col(f"v{c}") for c in range(classes)])
+    base = att.where(F.col("_f") == BASE).select(key, F.transform(per_class, lambda v: v["a"]).alias("_base"))
+    own = x.join(fx, key).join(base, key).select(key, "_fx", "_base", F.array(*[F.col(c) for c in cols]).alias("_x"))
+    long = att.where(F.col("_f") != BASE).select(key, "_f", F.posexplode(per_class).alias("class_id", "_v"))
+    return long.join(own, key).select(
+        key, "class_id", F.get(names, "_f").alias("feature"), F.get("_x", F.col("_f")).alias("value"),
+        F.col("_v.a").alias("attribution"), F.col("_v.e").alias("std_error"),
+        F.get("_base", F.col("class_id")).alias("base"), F.get("_fx", F.col("class_id")).alias("score"))
 
 
 def global_importance(attr: DataFrame, top: int | None = None) -> DataFrame:
