@@ -1,43 +1,29 @@
 """Minority oversampling (SMOTE) with exact within-class k-nearest neighbours.
 
-Neighbour search never compares all pairs of a class. Points are put on a
-grid over the ``g`` highest-variance features; a point's candidates are the
-points of its own and adjacent cells (3^g cells, one equi-join). Any point
-outside that block is farther than the cell width ``w`` in one projected
-feature, hence in full space, so if the k-th candidate distance is <= w the
-k neighbours are exact. Points not yet certified retry with 2w; a block that
-covers the whole class range certifies everything. Initial widths target
-~1 point per cell, so a dense region is certified at a small width and a
-sparse one escalates: candidate work follows local density, not class size.
-Each round is checkpointed (lineage cut in the shared folder).
+Neighbours come from ``operators.neighbours`` (pivots and the triangle
+inequality). The search runs on distinct vectors with multiplicities, so a huge
+group of identical rows fills its own ranks at distance 0 and forms no pairs.
 
 Synthesis is keyed, not random: synthetic j of class c uses base row
-(j mod n_c) in md5 order, neighbour hash(j) mod k, gap hash(j) in [0, 1);
-re-runs and any partitioning give the same rows.
+(j mod n_c) in md5 order; md5(class|j|seed) gives its neighbour's rank and its
+gap in [0, 1). Re-runs and any partitioning give the same rows, and SQL can
+reproduce them.
 """
 
 from __future__ import annotations
 
-import itertools
-import logging
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowforge.functions.expr import unit_hash
 from flowforge.operators.features import class_quota_rank
+from flowforge.operators.neighbours import nearest
 from flowforge.session import cut_lineage
 
-log = logging.getLogger(__name__)
 GEN_CHUNK = 100000  # synthetic rows generated per task slice of one base row
 
 
-def _sqdist(cols: list[str]) -> F.Column:
-    return sum(((F.col(f"q_{c}") - F.col(f"p_{c}")) ** 2 for c in cols), F.lit(0.0))
-
-
 def knn_within_class(df: DataFrame, cols: list[str], label_col: str = "Label_Multi",
-                     key: str = "flow_id", k: int = 5, g: int = 2, max_rounds: int = 40) -> DataFrame:
+                     key: str = "flow_id", k: int = 5, report: dict | None = None) -> DataFrame:
     """(key, label, nb_rank 1..k, nb_key, dist) — exact k nearest other rows
     of the same class (fewer when the class is smaller than k + 1).
 
@@ -46,76 +32,30 @@ def knn_within_class(df: DataFrame, cols: list[str], label_col: str = "Label_Mul
     rows needs no candidates at all (no pairs among copies are formed).
     ``nb_key`` is the smallest key holding the neighbour's vector."""
     rows = df.select(key, label_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    vec = cut_lineage(rows.groupBy(label_col, *cols).agg(F.min(key).alias("_v"),
-                                                         F.count(F.lit(1)).alias("_m")))
-    nbv = _knn_vectors(vec, cols, label_col, k, g, max_rounds)
+    vec = rows.groupBy(label_col, *cols).agg(F.min(key).alias("_v"), F.count(F.lit(1)).alias("_m"))
+    vec = cut_lineage(vec)
+    sizes = vec.groupBy(label_col).agg(F.sum("_m").alias("_n"))  # one row per class
+    pts = cut_lineage(vec.join(F.broadcast(sizes), label_col)
+                      .withColumn("_self", F.least(F.lit(k), F.col("_m") - 1))
+                      .withColumn("_need", F.least(F.lit(k), F.col("_n") - 1) - F.col("_self"))
+                      .drop("_n"))
+    # ranks filled by the row's own copies (distance 0)
+    own = (pts.where(F.col("_self") > 0)
+           .select("_v", F.explode(F.sequence(F.lit(1), F.col("_self").cast("int"))).alias("nb_rank"),
+                   F.col("_v").alias("nb_v"), F.lit(0.0).alias("dist")))
+    other = nearest(pts.drop("_self"), cols, label_col, report).join(pts.select("_v", "_self"), "_v")
+    first = (F.col("_self") + F.col("_before") + 1).cast("int")
+    other = other.select("_v", F.explode(F.sequence(first, first + F.col("_take").cast("int") - 1)).alias("nb_rank"),
+                         "nb_v", "dist")
+    nbv = cut_lineage(own.unionByName(other))
     rv = rows.join(vec.select(label_col, *cols, "_v"), [label_col, *cols])  # hot vector: AQE skew join
     return rv.join(nbv, "_v").select(key, label_col, "nb_rank", F.col("nb_v").alias("nb_key"), "dist")
 
 
-def _knn_vectors(vec: DataFrame, cols: list[str], label_col: str, k: int, g: int,
-                 max_rounds: int) -> DataFrame:
-    """(_v, nb_rank, nb_v, dist) over distinct vectors (_v, _m = copies)."""
-    var = vec.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
-    dims = sorted(cols, key=lambda c: -(var[c] or 0.0))[:g]
-    st = vec.groupBy(label_col).agg(
-        F.count(F.lit(1)).alias("_nd"), F.sum("_m").alias("_n"),
-        F.array_max(F.array(*[F.max(d) - F.min(d) for d in dims])).alias("_span"))
-    st = st.withColumn("_w0", F.when(F.col("_span") > 0, F.col("_span") / F.ceil(
-        F.pow(F.col("_nd").cast("double"), 1.0 / len(dims)))).otherwise(F.lit(1.0)))
-    pts = cut_lineage(vec.join(st, label_col)
-                      .withColumn("_self", F.least(F.lit(k), F.col("_m") - 1))
-                      .withColumn("_need", F.least(F.lit(k), F.col("_n") - 1) - F.col("_self")))
-    # ranks filled by the row's own copies (distance 0)
-    selfr = (pts.where(F.col("_self") > 0)
-             .select("_v", F.explode(F.sequence(F.lit(1), F.col("_self"))).alias("nb_rank"))
-             .select("_v", "nb_rank", F.col("_v").alias("nb_v"), F.lit(0.0).alias("dist")))
-    offsets = list(itertools.product([-1, 0, 1], repeat=len(dims)))
-    off_arr = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offsets])
-    done = selfr
-    todo = pts.where(F.col("_need") > 0).select("_v")
-    for r in range(max_rounds):
-        if todo.isEmpty():
-            break
-        w = F.col("_w0") * F.lit(2.0 ** r)
-        cell = [F.floor(F.col(d) / w).cast("long") for d in dims]
-        p = pts.select(F.col("_v").alias("p_v"), F.col("_m").alias("p_m"), label_col,
-                       *[cell[i].alias(f"c{i}") for i in range(len(dims))],
-                       *[F.col(c).alias(f"p_{c}") for c in cols])
-        q = (pts.join(todo, "_v", "left_semi")
-             .select(F.col("_v").alias("q_v"), label_col, "_self", "_need", "_span", w.alias("_w"),
-                     *[cell[i].alias(f"qc{i}") for i in range(len(dims))],
-                     *[F.col(c).alias(f"q_{c}") for c in cols], F.explode(off_arr).alias("_o"))
-             .select("q_v", label_col, "_self", "_need", "_span", "_w", *[f"q_{c}" for c in cols],
-                     *[(F.col(f"qc{i}") + F.col("_o")[i]).alias(f"c{i}") for i in range(len(dims))]))
-        cand = (q.join(p, [label_col, *[f"c{i}" for i in range(len(dims))]])
-                .where(F.col("q_v") != F.col("p_v"))
-                .select("q_v", "_self", "_need", "_span", "_w", "p_v", "p_m", _sqdist(cols).alias("_d2")))
-        wq = Window.partitionBy("q_v").orderBy("_d2", "p_v")
-        cum = cand.withColumn("_before", F.coalesce(
-            F.sum("p_m").over(wq.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        kept = cum.where(F.col("_before") < F.col("_need"))
-        stat = kept.groupBy("q_v").agg(F.max("_d2").alias("_dk2"),
-                                       F.max(F.col("_before") + F.col("p_m")).alias("_got"),
-                                       F.first("_need").alias("_need"), F.first("_w").alias("_w"),
-                                       F.first("_span").alias("_span"))
-        ok = stat.where(((F.col("_got") >= F.col("_need")) & (F.col("_dk2") <= F.col("_w") ** 2))
-                        | (F.col("_w") >= F.col("_span"))).select("q_v")
-        take = F.least(F.col("p_m"), F.col("_need") - F.col("_before"))
-        got = cut_lineage(
-            kept.join(ok, "q_v", "left_semi")
-            .select(F.col("q_v").alias("_v"), "p_v", F.sqrt("_d2").alias("dist"),
-                    F.explode(F.sequence(F.col("_self") + F.col("_before") + 1,
-                                         F.col("_self") + F.col("_before") + take)).alias("nb_rank"))
-            .select("_v", "nb_rank", F.col("p_v").alias("nb_v"), "dist"))
-        done = done.unionByName(got)
-        todo = cut_lineage(todo.join(got.select("_v").distinct(), "_v", "left_anti"))
-    else:
-        if not todo.isEmpty():
-            raise RuntimeError(f"neighbours of some rows are not certified after {max_rounds} rounds")
-        r = max_rounds - 1
-    log.info("knn certified after %d rounds", r + 1)
-    return done
+def _hashed(label: F.Column, j: F.Column, seed: int) -> F.Column:
+    """52 bits of md5(class|j|seed) as a long."""
+    hexed = F.md5(F.concat_ws("|", label.cast("string"), j.cast("string"), F.lit(str(seed))))
+    return F.conv(F.substring(hexed, 1, 13), 16, 10).cast("long")
 
 
 def smote_oversample(df: DataFrame, cols: list[str], label_col: str = "Label_Multi",
@@ -147,8 +87,8 @@ def smote_oversample(df: DataFrame, cols: list[str], label_col: str = "Label_Mul
            .withColumn("_j", F.col("_rank") - 1 + F.col("_t") * F.col("_n")))
     kk = nb.groupBy(key).agg(F.max("nb_rank").alias("_k"))
     gen = (gen.join(kk, key)
-           .withColumn("nb_rank", (F.pmod(F.xxhash64(F.col(label_col), F.col("_j"), F.lit(seed)), F.col("_k")) + 1).cast("int"))
-           .withColumn("_u", unit_hash(F.col(label_col), F.col("_j"), seed=seed + 1)))
+           .withColumn("nb_rank", (F.pmod(_hashed(F.col(label_col), F.col("_j"), seed), F.col("_k")) + 1).cast("int"))
+           .withColumn("_u", _hashed(F.col(label_col), F.col("_j"), seed + 1).cast("double") / F.lit(float(1 << 52))))
     gen = gen.join(nb.select(key, "nb_rank", "nb_key"), [key, "nb_rank"])
     other = base.select(F.col(key).alias("nb_key"), *[F.col(c).alias(f"_nb_{c}") for c in cols])
     gen = gen.join(other, "nb_key")

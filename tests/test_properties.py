@@ -134,20 +134,61 @@ def test_save_load_same_predictions(spark, prepared):
     assert a.exceptAll(b).count() == 0
 
 
-def test_shapley_efficiency(spark, prepared):
+class Blend:
+    """Two classes, p1 = a * b + c / 4 within [0, 1]: exact Shapley values are known."""
+
+    def transform(self, df):
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        v = vector_to_array("features")
+        p1 = v[0] * v[1] + v[2] / 4
+        return df.withColumn("probability", array_to_vector(F.array(1 - p1, p1))).withColumn("prediction", F.lit(0.0))
+
+
+def test_shapley_of_every_class(spark, prepared):
     m = M.fit_model("DecisionTree", "multi", prepared.split("train"), "Label_Multi", prepared.classes,
                     prepared.n_train)
     rows = X.explain_sample(prepared.split("test"), 20)
     from flowforge.operators.profile import sample_rows
     bg = sample_rows(prepared.split("train"), 30)
-    att = X.shapley_attribution(m, rows, bg, prepared.cols, n_perm=4)
-    tot = att.groupBy("flow_id", "class_id").agg(F.sum("attribution").alias("s"))
-    # efficiency: sum = f(x) - mean over permutations of f(background row)
-    fx = M.predict_with_proba(m, rows).select("flow_id", "probability")
-    j = tot.join(fx, "flow_id").select("s", F.element_at("probability", F.col("class_id") + 1).alias("fx"))
-    for r in j.collect():
-        assert -1.0 - 1e-9 <= r["s"] <= 1.0 + 1e-9
-        assert r["s"] <= r["fx"] + 1e-9
+    att = X.shapley_attribution(m, rows, bg, prepared.cols, n_perm=4).cache()
+    assert att.count() == 20 * len(prepared.cols) * len(prepared.classes)
+    per = att.groupBy("flow_id", "class_id").agg(F.sum("attribution").alias("s"), F.first("score").alias("fx"),
+                                                 F.first("base").alias("b"))
+    assert per.where(F.abs(F.col("s") - (F.col("fx") - F.col("b"))) > 1e-9).count() == 0
+    assert per.where(~F.col("b").between(0, 1)).count() == 0
+    # over the classes of a row a feature's attributions cancel
+    assert att.groupBy("flow_id", "feature").agg(F.sum("attribution").alias("s")).where(F.abs("s") > 1e-9).count() == 0
+
+
+def test_shapley_is_exact_for_pairwise_interactions(spark):
+    """An antithetic pair gives a product of two features its exact share."""
+    rows = spark.createDataFrame([(1, 0.8, 0.9, 0.4), (2, 0.1, 0.5, 1.0)], "flow_id long, a double, b double, c double")
+    bg = spark.createDataFrame([(0.2, 0.3, 0.6)], "a double, b double, c double")
+    got = {(r["flow_id"], r["feature"], r["class_id"]): r for r in
+           X.shapley_attribution(Blend(), rows, bg, ["a", "b", "c"], n_perm=4, tolerance=1e-6).collect()}
+    for k, a, b, c in [(1, 0.8, 0.9, 0.4), (2, 0.1, 0.5, 1.0)]:
+        want = {"a": (a - 0.2) * (b + 0.3) / 2, "b": (b - 0.3) * (a + 0.2) / 2, "c": (c - 0.6) / 4}
+        for f, v in want.items():
+            assert math.isclose(got[k, f, 1]["attribution"], v, abs_tol=1e-12)
+            assert math.isclose(got[k, f, 0]["attribution"], -v, abs_tol=1e-12)
+            assert got[k, f, 1]["std_error"] < 1e-9 and math.isclose(got[k, f, 1]["base"], 0.21)
+
+
+def test_shapley_stop_rule_and_edges(spark):
+    """More orders only for rows whose error is large; empty sides; a large background."""
+    rows = spark.createDataFrame([(1, 0.8, 0.9, 0.4), (2, 0.5, 0.5, 0.5)], "flow_id long, a double, b double, c double")
+    one = spark.createDataFrame([(0.5, 0.5, 0.5)] * 3, "a double, b double, c double")
+    mixed = spark.createDataFrame([(i / 40, 1 - i / 40, 0.5) for i in range(40)], "a double, b double, c double")
+    err = [X.shapley_attribution(Blend(), rows, mixed, ["a", "b", "c"], n_perm=4, tolerance=t, max_perm=64)
+           .agg(F.max("std_error")).first()[0] for t in (None, 0.03)]
+    assert err[1] < err[0]
+    flat = X.shapley_attribution(Blend(), rows.where("flow_id = 2"), one, ["a", "b", "c"], n_perm=4)
+    assert flat.where(F.abs("attribution") > 1e-12).count() == 0
+    for r, b in ((rows.limit(0), one), (rows, one.limit(0))):
+        none = X.shapley_attribution(Blend(), r, b, ["a", "b", "c"])
+        assert none.count() == 0 and none.columns == flat.columns
+    with pytest.raises(ValueError):
+        X.shapley_attribution(Blend(), rows, spark.range(X.MOST_BACKGROUND + 1).selectExpr("0.1 a", "0.1 b", "0.1 c"), ["a", "b", "c"])
 
 
 def test_param_space_sizes(spark):
