@@ -1,11 +1,15 @@
 """Hyper-parameter search.
 
 The grid is a DataFrame (one row per combination, built by exploding each
-axis). The search draws ``n_iter`` combinations in md5(id|seed) order, scores
-each with ``k``-fold stratified cross-validation on weighted F1 (folds from
-the hashed class rank, so they are exact and partition-independent), refits
-the best on the full train split and scores the test split. Fits are Spark
-ML jobs; candidates run concurrently like ``CrossValidator(parallelism=...)``.
+axis). The search draws ``n_iter`` combinations in md5(id|seed) order and
+scores them on weighted F1 over ``k`` stratified folds (from the hashed class
+rank, so they are exact and partition-independent). Whatever is learnt from
+rows (scaling, oversampling, class weights) is learnt inside each training
+fold; validation folds hold original rows only. Folds are written once and
+shared by all candidates and families. Candidates are pruned by successive
+halving: all meet the first fold, the better half the next, and only those that
+met every fold can win. The winner is fitted again on the full train split.
+Fits are Spark ML jobs; candidates run concurrently.
 """
 
 from __future__ import annotations
@@ -14,15 +18,20 @@ import json
 import math
 import time
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowforge.functions.expr import hash_order
 from flowforge.operators import evaluate as EV
 from flowforge.operators import models as M
-from flowforge.operators.features import class_quota_rank
-from flowforge.operators.split import weight_column
+from flowforge.operators import resample as RS
+from flowforge.operators import split as SP
+from flowforge.operators.bundle import Bundle, promote, save_bundle
+from flowforge.operators.features import class_quota_rank, stratified_cap
+from flowforge.session import materialise
 
 # The reference's search grids, by its parameter names.
 PARAM_GRIDS = {
@@ -129,23 +138,79 @@ def weighted_f1(model, data: DataFrame, label_col: str) -> float:
     return EV.summary_metrics(p).first()["f1_weighted"]
 
 
-def cross_validate(family: str, task: str, data: DataFrame, label_col: str, classes: list[int],
-                   params: dict, k: int = 3) -> float:
-    scores = []
+@dataclass
+class Fold:
+    """Rows to fit and to validate on, scaled and vectorised alike."""
+    train: DataFrame
+    valid: DataFrame
+    n_train: int
+
+
+def fit_rows(train: DataFrame, cols: list[str], mapping: DataFrame, oversample: bool = False,
+             key: str = "flow_id") -> tuple[DataFrame, dict]:
+    """(rows to fit, scaler): the scaler is that of ``train`` itself; with
+    ``oversample`` every class then grows to the largest one's size (column
+    ``is_synthetic``); weights balance the rows that are fitted."""
+    scaler = SP.scaler_params(SP.fit_standard_scaler(train, cols))
+    rows = train.select(key, "Label_Multi", "Label_Binary", *cols).withColumn("is_synthetic", F.lit(False))
+    if oversample:
+        grown = RS.smote_oversample(train, cols, "Label_Multi", key)
+        rows = SP.binary_from_multi(grown, mapping)
+    rows = materialise(rows, "fit-rows")
+    return SP.with_task_weights(vectors(rows, cols, scaler), rows), scaler
+
+
+def vectors(rows: DataFrame, cols: list[str], scaler: dict) -> DataFrame:
+    """Scaled feature vectors beside the other columns."""
+    return VectorAssembler(inputCols=cols, outputCol="features").transform(SP.apply_standard_scaler(rows, scaler))
+
+
+def search_folds(train: DataFrame, cols: list[str], mapping: DataFrame, k: int = 3, oversample: bool = False,
+                 key: str = "flow_id", seed: int = 42) -> list[Fold]:
+    """``k`` folds over raw (unscaled) rows, written once."""
+    folded = materialise(stratified_folds(train, k, "Label_Multi", key, seed), "folds")
+    out = []
     for f in range(k):
-        tr = data.where(F.col("fold") != f)
-        va = data.where(F.col("fold") == f)
-        m = M.fit_model(family, task, tr, label_col, classes, tr.count(), weight_column(task),
-                        to_spark_params(family, params))
-        scores.append(weighted_f1(m, va, label_col))
-    return sum(scores) / len(scores)
+        fit, scaler = fit_rows(folded.where(F.col("fold") != f), cols, mapping, oversample, key)
+        fit = materialise(fit, "fold-train")
+        out.append(Fold(fit, materialise(vectors(folded.where(F.col("fold") == f), cols, scaler), "fold-valid"), fit.count()))
+    return out
+
+
+def halving_search(family: str, task: str, folds: list[Fold], classes: list[int], candidates: list[dict],
+                   parallelism: int = 4) -> list[dict]:
+    """Every candidate's {params, scores}: one score per fold that it met. After
+    each fold the better half (rounded up; ties to the earlier draw) goes on, by
+    the mean of the scores so far."""
+    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
+    runs = [{"params": p, "scores": []} for p in candidates]
+
+    def meet(run: dict, fold: Fold) -> None:
+        m = M.fit_model(family, task, fold.train, label_col, classes, fold.n_train, SP.weight_column(task),
+                        to_spark_params(family, run["params"]))
+        run["scores"].append(weighted_f1(m, fold.valid, label_col))
+
+    left = list(range(len(runs)))
+    for n, fold in enumerate(folds):
+        with ThreadPoolExecutor(max(1, parallelism)) as ex:
+            list(ex.map(lambda i: meet(runs[i], fold), left))
+        if n + 1 < len(folds):
+            left = sorted(left, key=lambda i: (-sum(runs[i]["scores"]), i))[:(len(left) + 1) // 2]
+    return runs
+
+
+def best_candidate(runs: list[dict], k: int) -> dict:
+    """The highest mean score among those that met all ``k`` folds (ties: the
+    earlier draw)."""
+    whole = [r for r in runs if len(r["scores"]) == k]
+    return max(whole, key=lambda r: sum(r["scores"]))
 
 
 def untuned_baseline(family: str, task: str, tune: DataFrame, test: DataFrame, classes: list[int]):
     """Default parameters (balanced weights except boosted trees) fit on the
     tuning rows; returns (model, test weighted F1)."""
     label_col = "Label_Binary" if task == "binary" else "Label_Multi"
-    m = M.fit_model(family, task, tune, label_col, classes, tune.count(), weight_column(task),
+    m = M.fit_model(family, task, tune, label_col, classes, tune.count(), SP.weight_column(task),
                     to_spark_params(family, UNTUNED[family]))
     return m, weighted_f1(m, test, label_col)
 
@@ -155,40 +220,62 @@ def refit_best(family: str, task: str, train: DataFrame, test: DataFrame, classe
     """Refit the chosen reference-named parameters on the full train split;
     returns (model, test weighted F1)."""
     label_col = "Label_Binary" if task == "binary" else "Label_Multi"
-    m = M.fit_model(family, task, train, label_col, classes, train.count(), weight_column(task),
+    m = M.fit_model(family, task, train, label_col, classes, train.count(), SP.weight_column(task),
                     to_spark_params(family, best))
     return m, weighted_f1(m, test, label_col)
 
 
-def best_of_search(family: str, tune: DataFrame, classes: list[int], task: str = "multi", n_iter: int = 15,
-                   k: int = 3, seed: int = 42, parallelism: int = 4) -> dict:
-    """Seeded random search with stratified k-fold CV on the tuning rows: the
-    best parameters, their mean fold score and the seconds of the search."""
-    label_col = "Label_Binary" if task == "binary" else "Label_Multi"
-    cands = sample_params(param_space(tune.sparkSession, family), n_iter, seed)
-    folds = stratified_folds(tune, k, label_col).persist()
+def search_family(family: str, folds: list[Fold], classes: list[int], task: str = "multi", n_iter: int = 15,
+                  seed: int = 42, parallelism: int = 4) -> dict:
+    """Seeded random search with halving over the folds: the best parameters,
+    their mean fold score, the number of fits and the seconds of the search."""
+    spark = folds[0].train.sparkSession
     t0 = time.time()
-    with ThreadPoolExecutor(max(1, parallelism)) as ex:
-        scores = list(ex.map(lambda p: cross_validate(family, task, folds, label_col, classes, p, k), cands))
-    secs = time.time() - t0
-    folds.unpersist()
-    best = max(range(len(cands)), key=lambda i: (scores[i], -i))
-    return {"params": cands[best], "cv_f1": scores[best], "seconds": secs}
-
-
-def random_search_cv(family: str, train: DataFrame, test: DataFrame, classes: list[int],
-                     task: str = "multi", n_iter: int = 15, k: int = 3, seed: int = 42,
-                     tune_rows: DataFrame | None = None, parallelism: int = 4) -> dict:
-    """Untuned baseline (defaults, on the tuning rows), seeded random search
-    with stratified k-fold CV, refit of the best on the full train split,
-    test scores. Returns the report fields."""
-    tune = tune_rows if tune_rows is not None else train
-    _, original_f1 = untuned_baseline(family, task, tune, test, classes)
-    best = best_of_search(family, tune, classes, task, n_iter, k, seed, parallelism)
-    refit, tuned_f1 = refit_best(family, task, train, test, classes, best["params"])
-    return {"model_name": family, "original_f1": original_f1, "tuned_f1": tuned_f1,
-            "best_cv_f1": best["cv_f1"], "best_params": {k2: json.dumps(v) for k2, v in best["params"].items()},
-            "search_time_sec": best["seconds"], "model": refit}
+    runs = halving_search(family, task, folds, classes, sample_params(param_space(spark, family), n_iter, seed), parallelism)
+    best = best_candidate(runs, len(folds))
+    return {"params": best["params"], "cv_f1": sum(best["scores"]) / len(folds),
+            "fits": sum(len(r["scores"]) for r in runs), "seconds": time.time() - t0}
+
+
+def random_search_cv(families: list[str], train: DataFrame, test: DataFrame, cols: list[str], mapping: DataFrame,
+                     classes: list[int], task: str = "multi", n_iter: int = 15, k: int = 3, seed: int = 42,
+                     tuning_rows: int | None = None, oversample: bool = False, parallelism: int = 4) -> list[dict]:
+    """For each family: untuned baseline (defaults, on the tuning rows), search,
+    refit of the best on the full train split, test scores. ``train`` and
+    ``test`` are raw rows; folds take a stratified sample of ``tuning_rows`` rows
+    if train has more. One result per family, with its refitted model as a
+    ``Bundle`` that scores raw rows."""
+    tune_raw = train if tuning_rows is None else stratified_cap(train, tuning_rows)
+    folds = search_folds(tune_raw, cols, mapping, k, oversample, seed=seed)
+    fit, scaler = fit_rows(train, cols, mapping, oversample)
+    fit = materialise(fit, "refit-rows")
+    tune = fit if tuning_rows is None or train.count() <= tuning_rows else materialise(
+        fit_rows(tune_raw, cols, mapping, oversample)[0], "tune-rows")
+    held = materialise(vectors(test, cols, scaler), "search-test")
+    out = []
+    for family in families:
+        if family not in PARAM_GRIDS:
+            continue
+        _, original = untuned_baseline(family, task, tune, held, classes)
+        best = search_family(family, folds, classes, task, n_iter, seed, parallelism)
+        model, tuned = refit_best(family, task, fit, held, classes, best["params"])
+        scores = {"original_f1": original, "tuned_f1": tuned, "cv_f1": best["cv_f1"]}
+        out.append({"model_name": family, "original_f1": original, "tuned_f1": tuned, "best_cv_f1": best["cv_f1"],
+                    "best_params": {n: json.dumps(v) for n, v in best["params"].items()},
+                    "search_time_sec": best["seconds"], "fits": best["fits"],
+                    "bundle": Bundle(family, task, model, cols, scaler, mapping, best["params"], scores)})
+    return out
+
+
+def promote_search(spark: SparkSession, store: str, results: list[dict]) -> tuple[list[str], DataFrame]:
+    """Save every tuned model as a bundle, then promote the best by test score
+    (ties: name): (paths, report)."""
+    paths = [save_bundle(spark, store, r["bundle"]) for r in results]
+    report = report_frame(spark, results)
+    best = promote_best(report).first()
+    at = [r["model_name"] for r in results].index(best["best_model"])
+    promote(spark, store, paths[at], best["best_tuned_f1"])
+    return paths, report
 
 
 def tuning_report(rows: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@ written as a table and read back by the next one:
 
 cleaned -> profile tables -> final features -> split (partitionBy split)
 -> oversampled train -> scaler -> models x tasks -> comparison (CSV export)
--> best model (model store) -> alerts on the test split.
+-> best model (model store) -> with tuning: search, refit, bundles, promotion
+-> alerts on the test split.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from flowforge.operators import bundle as B
 from flowforge.operators import evaluate as EV
 from flowforge.operators import labels as L
 from flowforge.operators import models as M
@@ -19,12 +21,17 @@ from flowforge.operators import profile as P
 from flowforge.operators import resample as RS
 from flowforge.operators import score as SC
 from flowforge.operators import split as SP
+from flowforge.operators import tune as TU
 from flowforge.plans import stages as S
 from flowforge.sources.store import export_csv, read_dataset, write_dataset
 
 
 def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | None = None,
-               tasks=("binary", "multi"), oversample: bool = True, params: dict | None = None) -> dict:
+               tasks=("binary", "multi"), oversample: bool = True, params: dict | None = None,
+               tune: bool = False, n_iter: int = 15, tuning_rows: int = 500_000) -> dict:
+    """Paths of all tables. With ``tune`` the two best multi-class models are
+    searched, refitted and saved as bundles, and the best is promoted in the
+    store ``bundles``; alerts then come from the promoted bundle."""
     paths = {}
 
     def put(name, df, **kw):
@@ -65,7 +72,16 @@ def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | N
     paths["best_model"] = f"{out}/best_model"
     M.save_model(best_model, paths["best_model"])
     raw = split.where(F.col("split") == "test").select("flow_id", *cols)
-    scored, rejected = SC.score_flows(raw, best_model, cols, mapping, scaler)
+    if tune:
+        names = [r["model_name"] for r in EV.top_k_models(comparison, 2).collect()]
+        results = TU.random_search_cv(names, train, split.where(F.col("split") == "test"), cols, mapping, classes,
+                                      n_iter=n_iter, tuning_rows=tuning_rows, oversample=oversample)
+        paths["bundles"] = f"{out}/bundles"
+        _, report = TU.promote_search(spark, paths["bundles"], results)
+        put("tuning_report", report)
+        scored, rejected = B.current(spark, paths["bundles"]).score(raw)
+    else:
+        scored, rejected = SC.score_flows(raw, best_model, cols, mapping, scaler)
     put("rejects", rejected)
     attacks = SC.detect_attacks(scored).withColumn("confidence", F.col("Confidence") / 100.0)
     put("alerts", SC.build_alerts(attacks.withColumnRenamed("Predicted", "attack_type")))

@@ -265,13 +265,15 @@ def test_stream_gives_a_flow_one_alert(spark, prepared, tmp_path):
 
 def test_run_stages_end_to_end(spark, tmpdir_path):
     from flowforge.plans.run_stages import run_stages
-    paths = run_stages(spark, SF_SMALL, f"{tmpdir_path}/out", models=["DecisionTree"])
+    paths = run_stages(spark, SF_SMALL, f"{tmpdir_path}/out", models=["DecisionTree"], tune=True, n_iter=2)
     comp = spark.read.parquet(paths["model_comparison"]).collect()
     assert {(r["model_name"], r["task"]) for r in comp} == {("DecisionTree", "binary"), ("DecisionTree", "multi")}
     assert all(r["f1_weighted"] > 0.8 for r in comp)
     res = spark.read.parquet(paths["train_resampled"])
     counts = [r["count"] for r in res.groupBy("Label_Multi").count().collect()]
     assert len(set(counts)) == 1  # every class at the majority count
+    report = spark.read.parquet(paths["tuning_report"]).collect()
+    assert [r["model_name"] for r in report] == ["DecisionTree"] and report[0]["tuned_f1"] > 0.8
     alerts = spark.read.parquet(paths["alerts"])
     assert alerts.where(F.col("alert_id") == "ALT-00001").count() == 1
     assert spark.read.parquet(paths["split"]).where("split = 'test'").count() > 0
