@@ -309,3 +309,9 @@ def encoder(path: str, keep_spaces: bool) -> MemoEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         _ENCODERS[key] = MemoEncoder(path, keep_spaces, special_as_text=False)
     return _ENCODERS[key]
+
+
+def release() -> None:
+    """Give up the worker's encoders: called by tasks that come after all
+    tokenizing, since workers live on through other stages."""
+    _ENCODERS.clear()
