@@ -230,11 +230,18 @@ def content_key(t: np.ndarray, tf: np.ndarray, df: np.ndarray, idf: np.ndarray,
     return sum(int(x) << 16 * (2 - i) for i, x in enumerate(top))
 
 
-#: Of more documents than this, one in SAMPLED tells where ranges are cut.
-FEW, SAMPLED = 20_000, 16
+#: About so many documents a shard tell where ranges are cut.
+TELLING = 256
 
 
-def dealt_by_content(rows: DataFrame, df: np.ndarray, idf, least: int, parts: int, documents: int) -> DataFrame:
+def telling(rows: DataFrame, shard_ids: int) -> DataFrame:
+    """The documents whose keys tell where ranges are cut: one of n ids with the
+    chance n * TELLING / ``shard_ids``. Each one's own ids decide, whatever else
+    the table holds and however large it is."""
+    return rows.where(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(max(1, shard_ids // TELLING))) < F.octet_length("ids") / 2)
+
+
+def dealt_by_content(rows: DataFrame, df: np.ndarray, idf, least: int, parts: int, shard_ids: int) -> DataFrame:
     """doc_id and ids in ranges of the content key. The ranges are cut by a
     sample of the keys, which decides the split of the work only; ranges that a
     hot key fills share its rows by their place in the stored table, so repeated
@@ -261,10 +268,8 @@ def dealt_by_content(rows: DataFrame, df: np.ndarray, idf, least: int, parts: in
 
     cuts = np.zeros(0, np.int64)
     if parts > 1:
-        some = rows if documents <= FEW else rows.where(
-            F.pmod(F.xxhash64("doc_id", "ids"), F.lit(SAMPLED)) == 0)
         at = [i / parts for i in range(1, parts)]
-        found = some.mapInArrow(keyed(None), "key bigint").agg(F.percentile_approx("key", at, 20 * parts)).first()[0]
+        found = telling(rows, shard_ids).mapInArrow(keyed(None), "key bigint").agg(F.percentile_approx("key", at, 20 * parts)).first()[0]
         cuts = np.array(found or [], np.int64)
     dealt = rows.mapInArrow(keyed(cuts), "doc_id bigint, ids binary, key bigint, place bigint, part int")
     return dealt.repartitionById(parts, "part").sortWithinPartitions("key", "place").select("doc_id", "ids")
@@ -310,5 +315,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, width: int = 2048, shard_
 
     rows = tokens.where("ids is not null").select("doc_id", "ids")
     shard_docs = int(shard_ids / max(mean_length, 1))
-    rows = dealt_by_content(rows, df, idf, max(2, min(shard_docs, n // 64)), max(1, -int(-n * mean_length // shard_ids)), n)
+    rows = dealt_by_content(rows, df, idf, max(2, min(shard_docs, n // 64)), max(1, -int(-n * mean_length // shard_ids)),
+                            shard_ids)
     return rows.mapInArrow(fill, schema)

@@ -161,6 +161,15 @@ def test_packing_finds_neighbours_in_other_partitions(spark):
     assert sum(a == b for a, b in zip(order, order[1:])) >= 0.75 * len(order)
 
 
+def test_packing_ranges_are_cut_alike_at_every_size(spark):
+    rows = spark.range(24_000).select(F.col("id").alias("doc_id"), F.expr(
+        "unhex(repeat('0102', cast(if(id = 7, 70000, 10 + id % 50) as int)))").alias("ids"))
+    told = {n: {r[0] for r in packing.telling(rows.where(F.col("doc_id") < n), 1 << 21).select("doc_id").collect()}
+            for n in (15_000, 24_000)}
+    assert told[15_000] == {d for d in told[24_000] if d < 15_000}
+    assert 7 in told[15_000] and 10 < len(told[15_000]) < 150
+
+
 def test_packing_scores_with_all_terms_of_the_seed():
     seed = np.arange(100, 140).repeat(3)
     light = np.array([200])  # the only term that the other document shares, and the seed's lightest
