@@ -10,6 +10,7 @@ from flowforge.operators import profile as P
 from flowforge.plans import fixtures as FX
 from flowforge.plans import stages as S
 from flowforge.plans.catalog import register
+from flowforge.session import materialise
 
 FEAT = FX.FEATURES
 POS = {c: i for i, c in enumerate(FEAT)}
@@ -87,7 +88,7 @@ SQL_CLIP = (SQL_LONG, """pq AS (SELECT feature, quantile_cont(value, 0.01) AS lo
 
 
 def _top8_clipped(spark, sf):
-    c = cleaned(spark, sf)
+    c = materialise(cleaned(spark, sf), "cleaned")  # read by every pass
     top = [r["feature"] for r in P.top_k_variance(c, 8).orderBy("rank").collect()]
     return P.percentile_clip(c, top, ["flow_id", "Label_Binary"])
 

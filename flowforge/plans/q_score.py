@@ -12,6 +12,7 @@ from flowforge.plans import fixtures as FX
 from flowforge.plans import stages as S
 from flowforge.plans.catalog import register
 from flowforge.plans.q_eval import METRIC_CTES, model_metrics
+from flowforge.session import materialise
 
 HIGH = "('DDoS', 'DoS Hulk', 'DoS GoldenEye', 'Bot')"
 MEDIUM = "('PortScan', 'FTP-Patator', 'SSH-Patator')"
@@ -131,7 +132,7 @@ _SCALED = ("tr AS (SELECT * FROM spl WHERE split = 'train')",
     f"/ (SELECT s FROM sp WHERE feature = '{c}'), 0.5), 7) AS \"default\" FROM tr" for i, c in enumerate(FIN)))
 def q_feature_defaults(spark, sf):
     d, cols = S.split_dataset(spark, sf)
-    tr = d.where(F.col("split") == "train")
+    tr = materialise(d.where(F.col("split") == "train").select("flow_id", *cols), "train")  # read by every pass
     params = SP.scaler_params(SP.fit_standard_scaler(tr, cols))
     out = SC.feature_defaults(SP.apply_standard_scaler(tr.select("flow_id", *cols), params), cols)
     return out.withColumn("default", F.round("default", 7))
