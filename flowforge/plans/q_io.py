@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowforge.plans import fixtures as FX
 from flowforge.plans import stages as S
 from flowforge.plans.catalog import register
-from flowforge.session import checkpoint_dir
+from flowforge.session import checkpoint_dir, materialise
 from flowforge.sources import flows_csv as SRC
 from flowforge.sources import store
 
@@ -67,6 +67,10 @@ def _put(spark, path, data):
     out.close()
 
 
+#: Rows of a packed file, about.
+PACKED_ROWS = 250_000
+
+
 @register("skip_bad_file", FX.with_views(["flows"]) + """SELECT 'kept' AS result, CAST(count(*) AS BIGINT) AS n,
   CAST(sum(flow_id) AS BIGINT) AS ids FROM flows
 UNION ALL SELECT 'columns', CAST(count(*) AS BIGINT), NULL FROM flows WHERE trim(label) = 'Bot'
@@ -75,12 +79,14 @@ def q_skip_bad_file(spark, sf):
     """All flows as packed CSV files, among files that are missing, empty or cut
     short and one whose rows lack columns: what is kept, and what is rejected
     and why."""
-    flows, path = FX.flows(spark, sf).select(*COLUMNS), _folder(spark, "flows-packed")
-    flows.repartition(4, "flow_id").write.option("header", True).option("compression", "gzip") \
+    path = _folder(spark, "flows-packed")
+    flows = materialise(FX.flows(spark, sf).select(*COLUMNS), "flows")  # written whole and in part
+    # a packed file is one task's work, so their number follows the rows
+    flows.repartition(max(4, -(-flows.count() // PACKED_ROWS)), "flow_id").write.option("header", True) \
+        .option("compression", "gzip") \
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    contents = spark.read.format("binaryFile").load(path)
-    files = [r["path"] for r in contents.select("path").collect()]  # file names
-    start = contents.where(F.col("path") == files[0]).select(F.expr("substring(content, 1, 500)")).first()[0]
+    files = [r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect()]  # file names
+    start = spark.read.format("binaryFile").load(files[0]).select(F.expr("substring(content, 1, 500)")).first()[0]
     other = _folder(spark, "flows-bad")
     _put(spark, f"{other}/cut.csv.gz", start)
     _put(spark, f"{other}/empty.csv", b"")

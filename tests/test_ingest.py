@@ -68,3 +68,14 @@ def test_folders_patterns_and_intact(spark, tmp_path):
     two = gzip.compress(b"x" * 9_000_000) + gzip.compress(b"y")
     assert SRC.intact(two, "a.gz") and not SRC.intact(two[:-3], "a.gz") and not SRC.intact(b"junk", "a.gz")
     assert SRC.intact(bz2.compress(b"x" * 9_000_000), "a.bz2")
+
+
+def test_packed_files_follow_the_rows(spark, monkeypatch):
+    """A packed file cannot be cut between tasks: more rows are more files."""
+    from flowforge.plans import q_io
+    seen = []
+    read = q_io.SRC.read_flows_checked
+    monkeypatch.setattr(q_io.SRC, "read_flows_checked", lambda s, paths: seen.append(paths) or read(s, paths))
+    monkeypatch.setattr(q_io, "PACKED_ROWS", 200)
+    rows = {r["result"]: r["n"] for r in q_io.q_skip_bad_file(spark, "/root/testdata/sf0.001").collect()}
+    assert sum(p.endswith(".csv.gz") for p in seen[0]) - 1 == -(-rows["kept"] // 200) > 4
