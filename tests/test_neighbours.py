@@ -54,6 +54,32 @@ def test_few_candidates_where_two_features_carry_the_spread(spark):
     assert report["asking"] == 1500 and report["candidates_per_row"] < 1500 / 2
 
 
+def test_a_class_eight_times_as_large_has_no_more_candidates_a_row(spark):
+    seen = []
+    for n in (1000, 8000):
+        x = np.random.default_rng(7).normal(size=(n, 3)) * np.array([1000, 800, 600])
+        df = spark.createDataFrame([(i, 0, *map(float, v)) for i, v in enumerate(x)],
+                                   "flow_id long, Label_Multi int, a double, b double, c double")
+        report = {}
+        assert RS.knn_within_class(df, ["a", "b", "c"], report=report).count() == 5 * n
+        seen.append(report["candidates_per_row"])
+    assert seen[1] < 2 * seen[0]
+
+
+def test_cuts_deal_every_vector_once_and_boxes_lose_none():
+    rng = np.random.default_rng(8)
+    x = np.r_[rng.normal(size=(500, 3)), np.zeros((90, 3)), rng.integers(0, 2, size=(300, 3))]
+    parts = NB.cut_up(x, 32)
+    assert sorted(np.concatenate(parts)) == list(range(len(x))) and max(map(len, parts)) <= 32
+    nodes = NB.grown(x, 32)
+    leaf, n = NB.leaf_of(nodes, x), sum(f < 0 for f, *_ in nodes)
+    assert set(leaf) == set(range(n))
+    los, his = (np.array([f(x[leaf == i], axis=0) for i in range(n)]) for f in (np.min, np.max))
+    d, bound = np.sqrt(NB.square_distances(x[:40], x)), np.full(40, 0.4)
+    hit = {int(leaf[j]) for j in np.flatnonzero((d <= 0.4).any(axis=0))}
+    assert hit <= set(NB.cells_near(x[:40], bound, los, his).tolist())
+
+
 def test_ties_copies_and_tiny_classes(spark):
     rng = np.random.default_rng(5)
     x = rng.integers(0, 6, size=(400, 3)).astype(float)  # a lattice: ties everywhere, many copies
