@@ -33,30 +33,49 @@ from flowforge.llm.tokens import encoder, release
 
 K1, B = 1.2, 0.75
 VOCABULARY = 1 << 16
+#: A term that one of so many documents of a shard holds has a weight for each of them.
+DENSE = 8
 
 
 class Terms:
-    """Distinct terms of a document in order, with their counts: marks in a
-    table of the vocabulary instead of a sort."""
+    """Distinct terms of a document in order, with their counts: a sort of its
+    ids, or for long documents marks in a table of the vocabulary."""
+
+    LONG = 1 << 13
 
     def __init__(self) -> None:
         self.marked = np.zeros(VOCABULARY, bool)
         self.place = np.zeros(VOCABULARY, np.int32)
 
+    @staticmethod
+    def _sorted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in order, and the places where a new one begins."""
+        ids = np.sort(ids, kind="stable")  # by digits, as they have 16 bits
+        begins = np.ones(len(ids), bool)
+        np.not_equal(ids[1:], ids[:-1], out=begins[1:])
+        return ids, begins.nonzero()[0]
+
     def of(self, ids: np.ndarray) -> np.ndarray:
+        if len(ids) < self.LONG:
+            ids, begins = self._sorted(ids)
+            return ids[begins].astype(np.int64)
         self.marked[ids] = True
         terms = np.flatnonzero(self.marked)
         self.marked[terms] = False
         return terms
 
     def counted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(ids) < self.LONG:
+            ids, begins = self._sorted(ids)
+            return ids[begins].astype(np.int64), np.diff(begins, append=len(ids))
         terms = self.of(ids)
         self.place[terms] = np.arange(len(terms), dtype=np.int32)
         return terms, np.bincount(self.place[ids], minlength=len(terms))
 
 
 class Index:
-    """Inverted index of one shard: postings by term, terms by document."""
+    """Inverted index of one shard: postings by term, terms by document.
+    Documents that are used up leave the postings (``forget``)."""
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float) -> None:
         terms, docs_of, tfs, found = [], [], [], Terms()
@@ -74,16 +93,50 @@ class Index:
         norm = K1 * (1 - B + B * length / max(mean_length, 1e-9))
         weight = idf[self.term] * tf * (K1 + 1) / (tf + norm[doc])
         order = np.argsort(self.term, kind="stable")
-        self.post_doc, self.post_weight = doc[order], weight[order]
+        # as wide as the sums are made, so that a score converts nothing
+        self.post_doc, self.post_weight = doc[order].astype(np.int64), weight[order].astype(float)
+        self.row = np.full(VOCABULARY, -1, np.int64)  # of a common term in ``rows``
         self.at = np.searchsorted(self.term[order], np.arange(VOCABULARY + 1))
+        self.column, self.rows = np.arange(self.n), np.zeros((0, self.n))
+        common = np.flatnonzero(np.diff(self.at) * DENSE >= max(self.n, 1))
+        if len(common):
+            self._lay_out(common)
+
+    def _lay_out(self, common: np.ndarray) -> None:
+        """Take the terms that many documents hold out of the postings: a weight
+        for every document of each, added up without looking up documents."""
+        self.row[common] = np.arange(len(common))
+        count = np.diff(self.at)
+        row = np.repeat(self.row, count)
+        dense = row >= 0
+        self.rows = np.zeros((len(common), self.n))
+        self.rows[row[dense], self.post_doc[dense]] = self.post_weight[dense]
+        self.post_doc, self.post_weight = self.post_doc[~dense], self.post_weight[~dense]
+        self.at = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.where(self.row >= 0, 0, count))])
+
+    def forget(self, used: np.ndarray) -> None:
+        """Postings of the documents that are not used, in the same order."""
+        keep = ~used[self.post_doc]
+        self.at = np.concatenate([np.zeros(1, np.int64), np.cumsum(keep)])[self.at]
+        self.post_doc, self.post_weight = self.post_doc[keep], self.post_weight[keep]
+        keep = ~used[self.column]
+        self.column, self.rows = self.column[keep], np.ascontiguousarray(self.rows[:, keep])
 
     def scores(self, seed: int) -> np.ndarray:
+        """Scores of all documents that are not forgotten."""
         mine = self.term[self.first[seed]:self.first[seed + 1]]
-        spans = [slice(self.at[t], self.at[t + 1]) for t in mine.astype(np.int64)]
-        if not spans:
-            return np.zeros(self.n)
-        return np.bincount(np.concatenate([self.post_doc[s] for s in spans]),
-                           np.concatenate([self.post_weight[s] for s in spans]), self.n)
+        mine = mine.astype(np.int64)
+        row, a = self.row[mine], self.at[mine]
+        n = self.at[mine + 1] - a
+        to = np.cumsum(n)
+        where = np.repeat(a - (to - n), n)
+        where += np.arange(len(where))
+        score = np.bincount(self.post_doc[where], self.post_weight[where], self.n).astype(float, copy=False)  # of nothing: integers
+        total = np.zeros(len(self.column))
+        for r in row[row >= 0].tolist():
+            total += self.rows[r]
+        score[self.column] += total
+        return score
 
 
 def best_first(score: np.ndarray, some: int = 32) -> Iterator[int]:
@@ -129,6 +182,7 @@ class Packer:
     def shard(self, docs: list[tuple[object, np.ndarray]]) -> None:
         index = Index([ids for _, ids in docs], self.idf, self.mean_length)
         used = np.zeros(len(docs), bool)
+        held = len(docs)  # documents in the postings
         for first in range(len(docs)):
             if used[first]:
                 continue
@@ -139,6 +193,10 @@ class Packer:
             # window's end cuts is the seed of the next window, which its rest opens
             seed: int | None = first
             while seed is not None and self.fill and not used.all():
+                left = len(docs) - np.count_nonzero(used)
+                if left < held * 7 // 8:
+                    index.forget(used)
+                    held = left
                 score = index.scores(seed)
                 score[used] = -1.0
                 seed = None
@@ -224,9 +282,12 @@ def content_key(t: np.ndarray, tf: np.ndarray, df: np.ndarray, idf: np.ndarray,
     if not len(t):
         return 0
     weight = idf[t] * tf / (tf + K1)  # one document: its length changes little in the order
-    order = np.argsort(-weight, kind="stable")
-    common = order[df[t[order]] >= least]
-    top = [t[common[0] if len(common) else order[0]], *t[order[:2]]]
+    first = int(weight.argmax())  # of equal ones the first, here and below
+    common = np.where(df[t] >= least, weight, 0)
+    top = [t[common.argmax() if common.any() else first], t[first]]
+    if len(t) > 1:
+        weight[first] = -1
+        top.append(t[weight.argmax()])
     return sum(int(x) << 16 * (2 - i) for i, x in enumerate(top))
 
 

@@ -50,6 +50,17 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, a place of each, and each key's number among them."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    begins = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=begins[1:])
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(begins) - 1
+    return keys[begins], order[begins], back
+
+
 class MemoEncoder:
     """``keep_spaces``: a piece begins with the space before it (byte-level
     vocabulary); else white space is dropped and letters are lower-cased.
@@ -107,13 +118,20 @@ class MemoEncoder:
         found = [e.ids for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
         return np.array([i for ids in found for i in ids], np.uint16), np.array([len(ids) for ids in found], np.int64)
 
-    def _joined(self, pieces: list[str], lead: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pieces of letters only, many to a text: with spaces between
-        them, or with line breaks if no space belongs to them. Where they end is
-        seen on the ids."""
+    def _joined(self, text: np.ndarray, a: np.ndarray, b: np.ndarray, lead: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of letters only (bytes ``a`` to ``b`` of ``text``), many
+        to a text: with spaces between them, or with line breaks if no space
+        belongs to them. Where they end is seen on the ids."""
         by_space = lead or not self.keep_spaces
-        groups = [pieces[i:i + JOINED] for i in range(0, len(pieces), JOINED)]
-        texts = [" " + " ".join(g) if by_space else "\n".join(g) + "\n" for g in groups]
+        size = b - a + 1
+        to = np.cumsum(size)
+        bytes_ = text[np.minimum(np.repeat(a - (to - size), size) + np.arange(to[-1]), len(text) - 1)]
+        bytes_[to - 1] = 32 if by_space else 10
+        ends = [*to[JOINED - 1::JOINED].tolist()]
+        ends = [0, *ends] if ends and ends[-1] == to[-1] else [0, *ends, int(to[-1])]
+        texts = [bytes_[i:j].tobytes().decode() for i, j in zip(ends[:-1], ends[1:])]
+        groups = [t[:-1].split(t[-1]) for t in texts]
+        texts = [" " + t[:-1] if by_space else t for t in texts]
         all_ids, all_lens = [], []
         for group, e in zip(groups, self.tok.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(e.ids, np.int64)
@@ -141,17 +159,16 @@ class MemoEncoder:
                 index[hit] = entry[at[hit]]
         return index
 
-    def _learn(self, pieces: list[str], lead: np.ndarray, plain: np.ndarray, keys: np.ndarray,
-               check: np.ndarray) -> np.ndarray:
-        """Entries of new pieces (``plain``: of letters only; ``lead``: with a
-        space before)."""
+    def _learn(self, text: np.ndarray, a: np.ndarray, b: np.ndarray, lead: np.ndarray, plain: np.ndarray,
+               keys: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Entries of new pieces, bytes ``a`` to ``b`` of ``text`` (``plain``: of
+        letters only; ``lead``: with a space before)."""
         entries = np.zeros(len(keys), np.int64)
         for kind in range(3):
             mine = np.flatnonzero(~plain if kind == 2 else plain & (lead == bool(kind)))
             if len(mine):
-                texts = [pieces[i] for i in mine]
-                ids, lens = self._each([" " + t if lead[i] else t for i, t in zip(mine, texts)]) if kind == 2 \
-                    else self._joined(texts, bool(kind))
+                ids, lens = self._each([(" " if lead[i] else "") + text[a[i]:b[i]].tobytes().decode() for i in mine.tolist()]) \
+                    if kind == 2 else self._joined(text, a[mine], b[mine], bool(kind))
                 entries[mine] = self._append(ids, lens, check[mine])
         few, most = self.levels
         level = self._merged(few, (keys, entries))
@@ -223,6 +240,11 @@ class MemoEncoder:
         letters = marks = np.full(len(starts), -1, np.int64)
         if not len(starts):
             return letters, marks
+        # only the bytes of these words, one after the other
+        size = ends - starts
+        ends = np.cumsum(size)
+        text = text[np.repeat((starts - (ends - size)).astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)]
+        starts = ends - size
         # where the punctuation begins, and whether all before it are letters
         places = np.where(_PUNCT[text], 0, np.arange(1, len(text) + 1, dtype=np.int32))
         core = np.maximum(np.maximum.accumulate(places)[ends - 1].astype(np.int64), starts)
@@ -235,15 +257,14 @@ class MemoEncoder:
         spaced = np.concatenate([lead[has_core], (lead & ~has_core)[has_tail]])
         odd = np.concatenate([whole[has_core], np.zeros(tails, bool)])
         key, check = (hash_words(text, a, b, family) for family in (0, 1))
-        unique, at, back = np.unique(key ^ (spaced * _LEAD) ^ (odd * _WHOLE), return_index=True, return_inverse=True)
+        unique, at, back = _distinct(key ^ (spaced * _LEAD) ^ (odd * _WHOLE))
         if self.count > self.limit:
             self._clear()
         index = self._known(unique)
         new = at[index < 0]
         if len(new):
-            pieces = [text[i:j].tobytes().decode() for i, j in zip(a[new].tolist(), b[new].tolist())]
             plain = ~odd[new] & (new < len(a) - tails)
-            index[index < 0] = self._learn(pieces, spaced[new], plain, unique[index < 0], check[new])
+            index[index < 0] = self._learn(text, a[new], b[new], spaced[new], plain, unique[index < 0], check[new])
         entry = index[back]
         if (self.checks[entry] != check).any():
             return None, None
@@ -272,7 +293,7 @@ class MemoEncoder:
             gap = data[np.maximum(starts - 1, 0)]
             lead, line = inner & (gap == 32), inner & (gap == 10)
         key, check = (hash_words(text, starts, ends, family) for family in (0, 1))
-        _, at, back = np.unique(key ^ (lead * _LEAD), return_index=True, return_inverse=True)
+        _, at, back = _distinct(key ^ (lead * _LEAD))
         if (check[at][back] != check).any():  # two words with one 64-bit key
             return self._plain(data, offs, end_id)
         letters, marks = self._entries(text, starts[at], ends[at], lead[at])
