@@ -75,7 +75,7 @@ def run_stages(spark: SparkSession, sf_dir: str, out: str, models: list[str] | N
     if tune:
         names = [r["model_name"] for r in EV.top_k_models(comparison, 2).collect()]
         results = TU.random_search_cv(names, train, split.where(F.col("split") == "test"), cols, mapping, classes,
-                                      n_iter=n_iter, tuning_rows=tuning_rows, oversample=oversample)
+                                      n_iter=n_iter, tuning_rows=tuning_rows, oversample=oversample, halving=False)
         paths["bundles"] = f"{out}/bundles"
         _, report = TU.promote_search(spark, paths["bundles"], results)
         put("tuning_report", report)
